@@ -22,7 +22,7 @@ TWO_52 = float(2**52)
 
 
 def _key(seed, *parts) -> Column:
-    cols = [F.lit(str(seed))] + [p if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    cols = [F.lit(str(seed))] + [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
     return F.concat_ws(":", *cols)
 
 
