@@ -34,6 +34,9 @@ def prefix_sums(df: DataFrame, order_col: str, sums: dict[str, str], partition_c
     if n_rows is None:
         n_rows = df.count()
     nbins = max(1, min(200_000, math.ceil(n_rows / max(rows_per_bin, 1))))
+    if n_rows >= 20_000:
+        # at least one bin per core, so the within-bin windows run in parallel
+        nbins = max(nbins, df.sparkSession.sparkContext.defaultParallelism)
     if nbins > 1:
         probs = [i / nbins for i in range(1, nbins)]
         edges = sorted(set(df.stat.approxQuantile(order_col, probs, 1.0 / (4 * nbins))))
