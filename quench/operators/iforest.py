@@ -56,9 +56,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
         cand = np.flatnonzero(hi > lo)
         if cand.size == 0:
             return me
-        f = int(cand[rng.integers(cand.size)]) if cand.size < x.shape[1] else int(rng.integers(x.shape[1]))
-        if hi[f] <= lo[f]:
-            f = int(cand[rng.integers(cand.size)])
+        f = int(cand[rng.integers(cand.size)])  # a feature that still varies in this node
         t = float(rng.uniform(lo[f], hi[f]))
         mask = sub[:, f] < t
         left = build(idx[mask], depth + 1)
@@ -121,10 +119,10 @@ class IsolationForestModel:
         @F.pandas_udf("double")
         def _score(s: pd.DataFrame) -> pd.Series:
             model = bc.value
-            x = s[feats].to_numpy(dtype=float)
+            x = s.to_numpy(dtype=float)
             return pd.Series(model.score_array(x))
 
-        return df.withColumn(out, _score(F.struct(*[F.col(f).cast("double") for f in feats])))
+        return df.withColumn(out, _score(F.struct(*[F.col(f).cast("double").alias(f) for f in feats])))
 
     def predict(self, df: DataFrame, score_col: str = "anomaly_score") -> DataFrame:
         """M9 labels: anomaly (score above the contamination threshold) -> class 0, else 1."""

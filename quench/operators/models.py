@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier,
@@ -34,7 +35,6 @@ def _rff_column(features: list[str], n_components: int = 64, gamma: float | None
     """Random Fourier features for an RBF kernel (Rahimi & Recht, 2007):
     z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2*gamma I), b ~ U(0, 2pi), a fixed
     (D x d) matrix drawn once. Applied per Arrow batch as one matrix product."""
-    import pandas as pd
     from pyspark.ml.functions import array_to_vector
 
     d = len(features)
@@ -66,17 +66,18 @@ class SparkClassifier:
     def _prepare(self, df: DataFrame) -> DataFrame:
         if not self.rff:
             return df
-        return df.withColumn("_rff", _rff_column(self.features, self.rff))
+        return df.withColumn("features", _rff_column(self.features, self.rff))
 
     def _inputs(self) -> list[str]:
-        return ["_rff"] if self.rff else self.features
+        return ["features"] if self.rff else self.features
 
     def fit(self, train: DataFrame, features: list[str], label: str = LABEL) -> "SparkClassifier":
         self.features = list(features)
         self.label = label
         data = self._prepare(train.withColumn("label", F.col(label).cast("double")))
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=self._inputs(), outputCol="features",
-                                                handleInvalid="keep"), self.estimator])
+        stages = [self.estimator] if self.rff else [
+            VectorAssembler(inputCols=self._inputs(), outputCol="features", handleInvalid="keep"), self.estimator]
+        pipe = Pipeline(stages=stages)
         self.model = pipe.fit(data)
         return self
 
@@ -118,7 +119,7 @@ def make_model(name: str, n_train: int, seed: int = SEED) -> SparkClassifier:
     if name == "Decision Tree":
         return SparkClassifier(name, DecisionTreeClassifier(maxDepth=30, maxBins=128, seed=seed))
     if name == "Random Forest":
-        return SparkClassifier(name, RandomForestClassifier(numTrees=100, maxDepth=20, maxBins=128, seed=seed,
+        return SparkClassifier(name, RandomForestClassifier(numTrees=100, maxDepth=16, maxBins=128, seed=seed,
                                                             featureSubsetStrategy="sqrt",
                                                             maxMemoryInMB=1024))
     if name == "Gradient Boosting":

@@ -41,7 +41,6 @@ for _key, _name in [
     ("m3_random_forest", "Random Forest"),
     ("m4_gradient_boosting", "Gradient Boosting"),
     ("m5_svm_rbf_features", "SVM"),
-    ("m6_knn_classifier", "K-Nearest Neighbors"),
     ("m7_gaussian_naive_bayes", "Naive Bayes"),
     ("m8_boosted_trees_xgb_settings", "XGBoost"),
 ]:
