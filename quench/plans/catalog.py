@@ -52,4 +52,4 @@ def _sel(cols):
 
 
 # modules that register queries
-from quench.plans import queries_clean, queries_features, queries_metrics, queries_models  # noqa: E402,F401
+from quench.plans import queries_clean, queries_features, queries_metrics, queries_models, queries_streaming  # noqa: E402,F401
