@@ -1,13 +1,14 @@
 """Exact k-nearest neighbours without emitting all pairs (C5 imputation, M6
 classifier).
 
-Band join with doubling radius: for any coordinate ``c`` present in both
-rows, ``|q_c - d_c| <= dist(q, d)`` (also for the NaN-aware distance, whose
-weight ``n_features / n_present`` is >= 1). With band width ``W`` each query
-is joined only with donors whose ``c`` lies in the neighbouring buckets of
-width ``W`` (an equi-join on the bucket after exploding the query into three
-buckets). A query is **final** once it has k candidates and its k-th distance
-is <= W: every donor outside the band is farther than W. Unresolved queries
+Grid join with doubling cell width: for any coordinate ``c`` present in
+both rows, ``|q_c - d_c| <= dist(q, d)`` (also for the NaN-aware distance,
+whose weight ``n_features / n_present`` is >= 1). Up to three complete
+coordinates form a grid of cells of width ``W``; each query is joined only
+with donors in its 3^m neighbouring cells (an equi-join on the cell after
+exploding the query). A query is **final** once it has k candidates and its
+k-th distance is <= W: every donor outside the neighbourhood differs by more
+than W in some grid coordinate, so it is farther than W. Unresolved queries
 go to the next round with 2W; when the band spans the whole range every
 remaining query is final. Nothing is capped and results are exact; ties at
 equal distance are broken by donor id.
@@ -36,39 +37,52 @@ def _nan_euclid_sq(features: list[str], q: str = "q_", d: str = "d_"):
     return F.when(n > 0, F.lit(float(len(features))) / n * sq)
 
 
-def _pick_band(df: DataFrame, features: list[str]) -> str:
-    """A coordinate with no NULL and the widest spread (one aggregate)."""
+def _pick_bands(df: DataFrame, features: list[str], m: int = 3) -> list[str]:
+    """Up to ``m`` coordinates without NULLs, widest spread first (one aggregate)."""
     row = df.agg(*[F.count(F.col(f)).alias(f"{f}__n") for f in features], F.count(F.lit(1)).alias("_n"),
                  *[F.stddev_pop(F.col(f)).alias(f"{f}__s") for f in features]).first()
-    complete = [f for f in features if row[f"{f}__n"] == row["_n"]]
+    complete = [f for f in features if row[f"{f}__n"] == row["_n"] and (row[f"{f}__s"] or 0.0) > 0]
     if not complete:
-        raise ValueError("k-NN band join needs one feature without NULLs")
-    return max(complete, key=lambda f: (row[f"{f}__s"] or 0.0, f))
+        raise ValueError("k-NN grid join needs one non-constant feature without NULLs")
+    return sorted(complete, key=lambda f: (-(row[f"{f}__s"] or 0.0), f))[:m]
 
 
-def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k: int, band: str,
+def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k: int, bands: list[str],
                   qid: str, did: str, payload: list[str], max_rounds: int = 40) -> DataFrame:
     """For each query row: the k nearest donors' ``payload`` columns aggregated as
     ``avg_<col>`` (uniform mean), plus ``n_neighbors``. ``donors`` carries a
-    multiplicity column ``_mult`` (collapsed copies)."""
-    spark = queries.sparkSession
-    stats = donors.agg(F.min(band).alias("lo"), F.max(band).alias("hi"), F.sum("_mult").alias("n")).first()
+    multiplicity column ``_mult`` (collapsed copies). ``bands`` are complete
+    coordinates; the grid cell of width W in each is the join key and a query
+    probes its 3^m neighbouring cells."""
+    import itertools
+
+    stats = donors.agg(*[F.min(b).alias(f"lo_{b}") for b in bands], *[F.max(b).alias(f"hi_{b}") for b in bands],
+                       F.sum("_mult").alias("n")).first()
     if stats["n"] is None or stats["n"] == 0:
         return queries.select(qid).withColumn("n_neighbors", F.lit(0)).select(
             qid, *[F.lit(None).cast("double").alias(f"avg_{p}") for p in payload], "n_neighbors")
-    span = max(stats["hi"] - stats["lo"], 1e-12)
-    width = max(span * 4.0 * k / float(stats["n"]), 1e-12)
+    spans = [max(stats[f"hi_{b}"] - stats[f"lo_{b}"], 1e-12) for b in bands]
+    volume = 1.0
+    for sp in spans:
+        volume *= sp
+    # start with cells expected to hold about k donors
+    width = max((k * volume / float(stats["n"])) ** (1.0 / len(bands)), 1e-12)
     q = queries.select(F.col(qid).alias("qid"), *[F.col(f).alias(f"q_{f}") for f in features])
     d = donors.select(F.col(did).alias("did"), "_mult", *[F.col(f).alias(f"d_{f}") for f in features],
                       *[F.col(p).alias(f"v_{p}") for p in payload])
+    offsets = list(itertools.product((-1, 0, 1), repeat=len(bands)))
     results = []
     pending = q
     for _ in range(max_rounds):
-        final_round = width >= span
-        qb = pending.withColumn("_b", F.floor(F.col(f"q_{band}") / width)).select(
-            "*", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)).alias("_bb"))
-        db = d.withColumn("_bb", F.floor(F.col(f"d_{band}") / width))
-        pairs = qb.join(db, "_bb").withColumn("_dist2", _nan_euclid_sq(features)).where(F.col("_dist2").isNotNull())
+        final_round = width >= max(spans)
+        cells = [F.floor(F.col(f"q_{b}") / width) for b in bands]
+        probe = F.explode(F.array(*[
+            F.struct(*[(c + o).alias(f"_c{i}") for i, (c, o) in enumerate(zip(cells, off))]) for off in offsets]))
+        qb = pending.select("*", probe.alias("_cell")).select("*", *[F.col(f"_cell._c{i}").alias(f"_c{i}")
+                                                                     for i in range(len(bands))]).drop("_cell")
+        db = d.select("*", *[F.floor(F.col(f"d_{b}") / width).alias(f"_c{i}") for i, b in enumerate(bands)])
+        keys = [f"_c{i}" for i in range(len(bands))]
+        pairs = qb.join(db, keys).withColumn("_dist2", _nan_euclid_sq(features)).where(F.col("_dist2").isNotNull())
         # expand multiplicities only up to k (a copy repeated more than k times cannot add neighbours)
         pairs = pairs.withColumn("_m", F.least(F.col("_mult"), F.lit(k)))
         w = Window.partitionBy("qid").orderBy("_dist2", "did")
@@ -112,9 +126,9 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
     """Each missing value = uniform mean of that feature over the k nearest
     donors (rows with it present) by NaN-aware Euclidean distance over all
     features; the column mean when no donor is comparable."""
-    band = _pick_band(df, features)
+    bands = _pick_bands(df, features)
     means = df.agg(*[F.avg(f).alias(f) for f in features]).first()
-    missing_feats = [f for f in features if f != band]
+    missing_feats = [f for f in features if f not in bands]
     fills = []
     for f in missing_feats:
         receivers = df.where(F.col(f).isNull())
@@ -123,7 +137,7 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
         donors = _collapse(df.where(F.col(f).isNotNull()), features, key)
         # the donors' value of f is one of the coordinates: copies share it
         donors = donors.withColumn("_val", F.col(f))
-        got = knn_aggregate(receivers, donors, features, k, band, key, key, ["_val"])
+        got = knn_aggregate(receivers, donors, features, k, bands, key, key, ["_val"])
         fills.append(got.select(key, F.lit(f).alias("_feature"),
                                 F.coalesce(F.col("avg__val"), F.lit(means[f])).alias("_fill")))
     if not fills:
@@ -150,11 +164,11 @@ class KNNClassifier:
         self.features, self.label, self.key = list(features), label, key
         self.train = _collapse(train, features, key, [F.sum(F.col(label).cast("double")).alias("_pos")]) \
             .withColumn("_share", F.col("_pos") / F.col("_mult")).checkpoint(eager=True)
-        self.band = _pick_band(self.train, features)
+        self.bands = _pick_bands(self.train, features)
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
-        got = knn_aggregate(df, self.train, self.features, self.k, self.band, self.key, self.key, ["_share"])
+        got = knn_aggregate(df, self.train, self.features, self.k, self.bands, self.key, self.key, ["_share"])
         scored = df.join(got, self.key, "left")
         return scored.withColumn("probability", F.col("avg__share")).withColumn(
             "prediction", (F.col("avg__share") > 0.5).cast("int")).drop("avg__share", "n_neighbors")

@@ -6,7 +6,8 @@ distinct value into a single task per group; at 100 TB that is the whole
 column. Here, for each wanted rank ``r`` (0-based, ascending, NULLs skipped):
 
 1. n = count(col) per column (one aggregate pass over all columns).
-2. If n is small (<= ``max_bracket``) the bracket is the whole column.
+2. If n is small (<= ``max_bracket``) Spark's exact ``percentile`` runs in
+   one aggregate (its per-column value map is bounded by ``max_bracket``).
    Otherwise ``percentile_approx`` (guaranteed rank error <= n/accuracy)
    proposes values a <= v_r <= b; one aggregate of ``count_if`` verifies
    below(a) <= r < upto(b) and widens a side to +-inf when it does not hold;
@@ -146,6 +147,21 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
 
 def exact_quantiles_with_counts(df, cols, probs, counts, accuracy=100_000, max_bracket=2_000_000):
+    # columns small enough for one task: Spark's exact ``percentile`` (same
+    # linear interpolation) in a single aggregate -- its per-group value map is
+    # bounded by max_bracket, the bound the bracket path accepts anyway
+    small = [c for c in cols if 0 < counts[c] <= max_bracket]
+    result: dict[str, dict[float, float | None]] = {}
+    if small:
+        row = df.agg(*[F.percentile(F.col(c), list(probs)).alias(c) for c in small]).first()
+        for c in small:
+            result[c] = {p: float(v) for p, v in zip(probs, row[c])}
+    rest = [c for c in cols if c not in result]
+    result.update(_bracketed_quantiles(df, rest, probs, counts, accuracy, max_bracket))
+    return result
+
+
+def _bracketed_quantiles(df, cols, probs, counts, accuracy, max_bracket):
     wanted: dict[str, list[int]] = {}
     for c in cols:
         n = counts[c]
