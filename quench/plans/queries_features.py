@@ -127,3 +127,34 @@ def q_f11(spark, sf_dir):
 def q_f12(spark, sf_dir):
     df = imputed(spark, sf_dir)
     return feat.add_gaussian_noise(df, FEATURES, 0.1, feat.sample_stds(df, FEATURES), seed=42)
+
+
+# ------------------------------------------------------------------ outliers over the engineered features
+# (the raw fixture columns are uniform and have none; ratios have heavy tails)
+
+_EIQR_CTE = ENG_CTE + ",\nq AS (SELECT " + ", ".join(
+    f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3" for c in ENGINEERED) + " FROM eng)"
+_EIQR_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, row_id, {c} AS value FROM eng CROSS JOIN q "
+    f"WHERE {c} < {c}_q1 - 1.5 * ({c}_q3 - {c}_q1) OR {c} > {c}_q3 + 1.5 * ({c}_q3 - {c}_q1)" for c in ENGINEERED)
+
+
+@register("c8_outliers_iqr_engineered", with_ctes(_EIQR_SQL, extra=_EIQR_CTE), ["value"])
+def q_c8e(spark, sf_dir):
+    from quench.operators import clean
+
+    return clean.detect_outliers(engineered(spark, sf_dir), ENGINEERED, "iqr", 1.5)
+
+
+_EZ_CTE = ENG_CTE + ",\nz AS (SELECT " + ", ".join(
+    f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_s" for c in ENGINEERED) + " FROM eng)"
+_EZ_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, row_id, {c} AS value FROM eng CROSS JOIN z "
+    f"WHERE {c}_s > 0 AND abs(({c} - {c}_m) / {c}_s) > 3.0" for c in ENGINEERED)
+
+
+@register("c9_outliers_zscore_engineered", with_ctes(_EZ_SQL, extra=_EZ_CTE), ["value"])
+def q_c9e(spark, sf_dir):
+    from quench.operators import clean
+
+    return clean.detect_outliers(engineered(spark, sf_dir), ENGINEERED, "zscore", 3.0)
