@@ -52,7 +52,8 @@ def _pick_bands(df: DataFrame, features: list[str], m: int = 3) -> list[str]:
 
 
 def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k: int, bands: list[str],
-                  qid: str, did: str, payload: list[str], max_rounds: int = 40, pilot: bool = False) -> DataFrame:
+                  qid: str, did: str, payload: list[str], max_rounds: int = 40, pilot: bool = False,
+                  grid_extra: list[str] | None = None) -> DataFrame:
     """For each query row: the k nearest donors' ``payload`` columns aggregated as
     ``avg_<col>`` (uniform mean), plus ``n_neighbors``. ``donors`` carries a
     multiplicity column ``_mult`` (collapsed copies). ``bands`` are complete
@@ -71,9 +72,10 @@ def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k:
         volume *= sp
     # start with cells expected to hold about k donors (uniform density) ...
     width = max((k * volume / float(stats["n"])) ** (1.0 / len(bands)), 1e-12)
-    q = queries.select(F.col(qid).alias("qid"), *[F.col(f).alias(f"q_{f}") for f in features])
+    cols = list(features) + [c for c in (grid_extra or []) if c not in features]
+    q = queries.select(F.col(qid).alias("qid"), *[F.col(f).alias(f"q_{f}") for f in cols])
     # donors are probed every round: materialise them once (lineage cut in the shared folder)
-    d = donors.select(F.col(did).alias("did"), "_mult", *[F.col(f).alias(f"d_{f}") for f in features],
+    d = donors.select(F.col(did).alias("did"), "_mult", *[F.col(f).alias(f"d_{f}") for f in cols],
                       *[F.col(p).alias(f"v_{p}") for p in payload]).checkpoint(eager=True)
     offsets = list(itertools.product((-1, 0, 1), repeat=len(bands)))
     if pilot and stats["n"] > 50_000:
@@ -180,22 +182,44 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
 
 
 class KNNClassifier:
-    """M6: 5-nearest-neighbour vote (uniform), probability = share of class 1."""
+    """M6: 5-nearest-neighbour vote (uniform), probability = share of class 1.
+
+    Training data is complete, so the grid can use distances to three pivot
+    rows instead of raw coordinates: by the triangle inequality
+    |d(q, p) - d(x, p)| <= d(q, x), which is the same lower bound the grid join
+    needs, and pivot distances separate points far better than any three of
+    many standardised coordinates. Pivots are fixed by content hash."""
 
     name = "K-Nearest Neighbors"
 
-    def __init__(self, k: int = 5):
+    def __init__(self, k: int = 5, n_pivots: int = 3):
         self.k = k
+        self.n_pivots = n_pivots
+
+    def _with_pivots(self, df: DataFrame) -> DataFrame:
+        out = df
+        for j, p in enumerate(self.pivots):
+            d2 = sum(((F.col(f) - F.lit(float(p[f]))) * (F.col(f) - F.lit(float(p[f]))) for f in self.features),
+                     F.lit(0.0))
+            out = out.withColumn(f"_pv{j}", F.sqrt(d2))
+        return out
 
     def fit(self, train: DataFrame, features: list[str], label: str = LABEL, key: str = ROW_ID):
+        from quench.functions.hashing import hash_bits
+
         self.features, self.label, self.key = list(features), label, key
-        self.train = _collapse(train, features, key, [F.sum(F.col(label).cast("double")).alias("_pos")]) \
-            .withColumn("_share", F.col("_pos") / F.col("_mult")).checkpoint(eager=True)
-        self.bands = _pick_bands(self.train, features)
+        collapsed = _collapse(train, features, key, [F.sum(F.col(label).cast("double")).alias("_pos")]) \
+            .withColumn("_share", F.col("_pos") / F.col("_mult"))
+        # pivots: the rows with the smallest content hashes (a few rows reach the driver)
+        piv = collapsed.orderBy(hash_bits(42, "pivot", F.col(key)), key).limit(self.n_pivots).collect()
+        self.pivots = [{f: r[f] for f in features} for r in piv]
+        self.train = self._with_pivots(collapsed).checkpoint(eager=True)
+        self.bands = [f"_pv{j}" for j in range(len(self.pivots))]
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
-        got = knn_aggregate(df, self.train, self.features, self.k, self.bands, self.key, self.key, ["_share"])
+        got = knn_aggregate(self._with_pivots(df), self.train, self.features, self.k, self.bands, self.key,
+                            self.key, ["_share"], grid_extra=self.bands)
         scored = df.join(got, self.key, "left")
         return scored.withColumn("probability", F.col("avg__share")).withColumn(
             "prediction", (F.col("avg__share") > 0.5).cast("int")).drop("avg__share", "n_neighbors")
