@@ -121,7 +121,11 @@ def _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_ro
         # expand multiplicities only up to k (a copy repeated more than k times cannot add neighbours)
         pairs = pairs.withColumn("_m", F.least(F.col("_mult"), F.lit(k)))
         w = Window.partitionBy("qid").orderBy("_dist2", "did")
-        ranked = pairs.withColumn("_cum", F.sum("_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        # every donor row counts at least once, so only a query's first k rows
+        # can contribute; a row_number filter lets Spark cut candidates to k per
+        # query on the map side before the shuffle (partial WindowGroupLimit)
+        near = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+        ranked = near.withColumn("_cum", F.sum("_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         top = ranked.where(F.col("_cum") - F.col("_m") < k).withColumn(
             "_take", F.least(F.col("_m"), F.lit(k) - (F.col("_cum") - F.col("_m"))))
         agg = top.groupBy("qid").agg(
