@@ -53,12 +53,14 @@ def _pick_bands(df: DataFrame, features: list[str], m: int = 3) -> list[str]:
 
 def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k: int, bands: list[str],
                   qid: str, did: str, payload: list[str], max_rounds: int = 40, pilot: bool = False,
-                  grid_extra: list[str] | None = None) -> DataFrame:
+                  grid_extra: list[str] | None = None, group: str | None = None, n_groups: int = 1) -> DataFrame:
     """For each query row: the k nearest donors' ``payload`` columns aggregated as
     ``avg_<col>`` (uniform mean), plus ``n_neighbors``. ``donors`` carries a
     multiplicity column ``_mult`` (collapsed copies). ``bands`` are complete
     coordinates; the grid cell of width W in each is the join key and a query
-    probes its 3^m neighbouring cells."""
+    probes its 3^m neighbouring cells. With ``group``, queries only meet donors
+    of the same group (an extra equi-join key), so several independent searches
+    share one set of rounds; ``n_groups`` keeps the density estimate per group."""
     import itertools
 
     stats = donors.agg(*[F.min(b).alias(f"lo_{b}") for b in bands], *[F.max(b).alias(f"hi_{b}") for b in bands],
@@ -71,11 +73,13 @@ def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k:
     for sp in spans:
         volume *= sp
     # start with cells expected to hold about k donors (uniform density) ...
-    width = max((k * volume / float(stats["n"])) ** (1.0 / len(bands)), 1e-12)
+    per_group = float(stats["n"]) / max(n_groups, 1)
+    width = max((k * volume / per_group) ** (1.0 / len(bands)), 1e-12)
     cols = list(features) + [c for c in (grid_extra or []) if c not in features]
-    q = queries.select(F.col(qid).alias("qid"), *[F.col(f).alias(f"q_{f}") for f in cols])
+    tag = [F.col(group).alias("_g")] if group else []
+    q = queries.select(F.col(qid).alias("qid"), *tag, *[F.col(f).alias(f"q_{f}") for f in cols])
     # donors are probed every round: materialise them once (lineage cut in the shared folder)
-    d = donors.select(F.col(did).alias("did"), "_mult", *[F.col(f).alias(f"d_{f}") for f in cols],
+    d = donors.select(F.col(did).alias("did"), "_mult", *tag, *[F.col(f).alias(f"d_{f}") for f in cols],
                       *[F.col(p).alias(f"v_{p}") for p in payload]).checkpoint(eager=True)
     offsets = list(itertools.product((-1, 0, 1), repeat=len(bands)))
     if pilot and stats["n"] > 50_000:
@@ -116,7 +120,7 @@ def _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_ro
         qb = pending.select("*", probe.alias("_cell")).select("*", *[F.col(f"_cell._c{i}").alias(f"_c{i}")
                                                                      for i in range(len(bands))]).drop("_cell")
         db = d.select("*", *[F.floor(F.col(f"d_{b}") / width).alias(f"_c{i}") for i, b in enumerate(bands)])
-        keys = [f"_c{i}" for i in range(len(bands))]
+        keys = [f"_c{i}" for i in range(len(bands))] + (["_g"] if "_g" in q.columns else [])
         pairs = qb.join(db, keys).withColumn("_dist2", _nan_euclid_sq(features)).where(F.col("_dist2").isNotNull())
         # expand multiplicities only up to k (a copy repeated more than k times cannot add neighbours)
         pairs = pairs.withColumn("_m", F.least(F.col("_mult"), F.lit(k)))
@@ -160,24 +164,28 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
     donors (rows with it present) by NaN-aware Euclidean distance over all
     features; the column mean when no donor is comparable."""
     bands = _pick_bands(df, features)
-    means = df.agg(*[F.avg(f).alias(f) for f in features]).first()
-    missing_feats = [f for f in features if f not in bands]
-    fills = []
-    for f in missing_feats:
-        receivers = df.where(F.col(f).isNull())
-        if receivers.isEmpty():
-            continue
-        donors = _collapse(df.where(F.col(f).isNotNull()), features, key)
-        # the donors' value of f is one of the coordinates: copies share it
-        donors = donors.withColumn("_val", F.col(f))
-        got = knn_aggregate(receivers, donors, features, k, bands, key, key, ["_val"])
-        fills.append(got.select(key, F.lit(f).alias("_feature"),
-                                F.coalesce(F.col("avg__val"), F.lit(means[f])).alias("_fill")))
-    if not fills:
+    row = df.agg(*[F.avg(f).alias(f) for f in features],
+                 *[F.count_if(F.col(f).isNull()).alias(f"{f}__null") for f in features]).first()
+    missing_feats = [f for f in features if f not in bands and row[f"{f}__null"] > 0]
+    if not missing_feats:
         return df
-    long = fills[0]
-    for x in fills[1:]:
-        long = long.unionByName(x)
+    # one search per missing feature, all in the same rounds: the feature is an
+    # extra join key, a query is (row, feature) and its donors are the rows
+    # with that feature present (copies collapsed; they share its value)
+    queries = donors = None
+    for f in missing_feats:
+        qf = df.where(F.col(f).isNull()).select(
+            F.concat_ws("|", F.col(key), F.lit(f)).alias("_qid"), F.lit(f).alias("_feature"), *features)
+        df_ = _collapse(df.where(F.col(f).isNotNull()), features, key).select(
+            key, "_mult", F.lit(f).alias("_feature"), *features, F.col(f).alias("_val"))
+        queries = qf if queries is None else queries.unionByName(qf)
+        donors = df_ if donors is None else donors.unionByName(df_)
+    got = knn_aggregate(queries, donors, features, k, bands, "_qid", key, ["_val"], group="_feature",
+                        n_groups=len(missing_feats))
+    mean_of = F.create_map(*[x for f in missing_feats for x in (F.lit(f), F.lit(row[f]))])
+    long = got.select(F.substring_index("_qid", "|", 1).cast(df.schema[key].dataType).alias(key),
+                      F.substring_index("_qid", "|", -1).alias("_feature"), "avg__val").select(
+        key, "_feature", F.coalesce(F.col("avg__val"), mean_of[F.col("_feature")]).alias("_fill"))
     wide = long.groupBy(key).pivot("_feature", [f for f in missing_feats]).agg(F.first("_fill"))
     joined = df.join(wide.select(key, *[F.col(f).alias(f"_fill_{f}") for f in missing_feats]), key, "left")
     return joined.select(*[
