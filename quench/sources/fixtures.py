@@ -25,6 +25,7 @@ def _null_when(cond, value):
 
 
 _MATERIALISED: dict[tuple[str, str], str] = {}
+ROW_GROUP_BYTES = 4 * 1024 * 1024  # = spark.sql.files.openCostInBytes, the smallest scan split
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +38,11 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _MATERIALISED.get(key)
     if path is None:
         path = scratch_path(spark, "measurements")
-        measurements_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
+        # small row groups let every scan split the file across tasks even when
+        # the write ran in one task (a single-file input joined by broadcast);
+        # no repartition, so no extra shuffle at scale
+        (measurements_plan(spark, sf_dir).write.mode("overwrite")
+         .option("parquet.block.size", ROW_GROUP_BYTES).parquet(path))
         _MATERIALISED[key] = path
     return spark.read.parquet(path)
 
