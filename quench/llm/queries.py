@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quench.llm.common import table
+from quench.llm.common import fold, table
 from quench.session import scratch_path
 
 
@@ -24,6 +24,15 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quench.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(F.col("id").alias("doc_id"), (fold("id", toxicity.FOLDS) == toxicity.HELD_OUT).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quench.llm import token_files
 
@@ -39,6 +48,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quench.llm import lm_score
+
+    return lm_score.lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quench.llm import simhash_dedup
 
@@ -46,7 +61,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op4_token_files, op5_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op3_toxicity, op4_token_files, op5_exact_dedup, op9_lm_scores,
                                    op10_simhash_near_dedup)}
 
 _BENCH_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
