@@ -9,7 +9,8 @@ sides of a window: zstandard stores very short inputs raw and does not search an
 last bytes, and with the preamble the lengths differ by the window alone.
 
 A document's features are its greatest distances and the numbers of windows beyond
-thresholds; a logistic calibration on training documents turns them into a score.
+thresholds; a logistic calibration, cross-fitted on training documents, turns them into a
+score.
 
 Training reads a bounded sample of labelled rows: per class at most ``SAMPLE`` documents
 (those of least id hash) of at most ``SAMPLE_CHARS`` characters. Scoring reads every whole
@@ -141,36 +142,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
     return w
 
 
-def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Model | None:
-    """Dictionaries and calibration from labelled texts; None without both classes."""
-    pairs = sorted(dict(zip(texts, toxic)).items())  # copies count once
-    random.Random(seed).shuffle(pairs)
-    if len({y for _, y in pairs}) < 2:
-        return None
-    positive = [t for t, y in pairs if y]
-    negative = [t for t, y in pairs if not y]
-    # The calibration uses texts that the dictionaries have not seen, if there are enough of them.
-    cut = (lambda xs: (xs[len(xs) // 3:], xs[:len(xs) // 3])) if len(positive) >= 150 else (lambda xs: (xs, xs))
-    (tox, tox_cal), (plain, plain_cal) = cut(positive), cut(negative)
+def _dictionaries(positive: list[str], negative: list[str], seed: int) -> tuple[bytes, bytes]:
+    """The ordinary base and the toxic part, trained on ordinary text and on toxic spans."""
     in_tox, in_plain = Counter(), Counter()
-    for t in tox:
+    for t in positive:
         in_tox.update(_grams(t))
-    for t in plain:
+    for t in negative:
         in_plain.update(_grams(t))
-    least = max(3, 0.005 * len(tox))
-    hot = {g for g, c in in_tox.items() if c >= least and c / len(tox) >= 8 * (in_plain[g] + 1) / max(len(plain), 1)}
-    spans = [s for t in tox for w in t.encode().lower().split() for s in _spans(w, hot)]
-    runs = [b" ".join(ws[i:i + 12]) for t in plain for ws in [t.encode().lower().split()] for i in range(0, len(ws), 12)]
+    least = max(3, 0.005 * len(positive))
+    hot = {g for g, c in in_tox.items() if c >= least and c * len(negative) >= 8 * (in_plain[g] + 1) * len(positive)}
+    spans = [s for t in positive for w in t.encode().lower().split() for s in _spans(w, hot)]
+    runs = [b" ".join(ws[i:i + 12]) for t in negative for ws in [t.encode().lower().split()] for i in range(0, len(ws), 12)]
     rng = random.Random(seed)
     rng.shuffle(spans)
     rng.shuffle(runs)
-    ordinary = _content(runs[:100_000], ORDINARY_BYTES, 64)
-    bad = _content([b"".join(spans[i:i + 4]) for i in range(0, min(len(spans), 200_000), 4)], TOXIC_BYTES, 24)
-    distance = Distance(ordinary, bad)
-    x = np.array([distance.features(t) for t in tox_cal + plain_cal])
-    y = np.array([1.0] * len(tox_cal) + [0.0] * len(plain_cal))
+    return (_content(runs[:100_000], ORDINARY_BYTES, 64),
+            _content([b"".join(spans[i:i + 4]) for i in range(0, min(len(spans), 200_000), 4)], TOXIC_BYTES, 24))
+
+
+def fit(texts: list[str], toxic: list[int], seed: int = 7, parts: int = 3) -> Model | None:
+    """Dictionaries and calibration from labelled texts; None without both classes.
+
+    The calibration sees every text only through dictionaries trained on the other parts."""
+    pairs = sorted(dict(zip(texts, toxic)).items())  # copies count once
+    random.Random(seed).shuffle(pairs)
+    positive, negative = [t for t, y in pairs if y], [t for t, y in pairs if not y]
+    if not positive or not negative:
+        return None
+    x, y = [], []
+    for part in range(parts):
+        rest = [[t for i, t in enumerate(ts) if i % parts != part] or ts for ts in (positive, negative)]
+        distance = Distance(*_dictionaries(*rest, seed))
+        for label, ts in ((1.0, positive), (0.0, negative)):
+            x += [distance.features(t) for t in ts[part::parts]]
+            y += [label] * len(ts[part::parts])
+    x, y = np.array(x), np.array(y)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    return Model(ordinary, bad, mean, scale, _logistic((x - mean) / scale, y))
+    return Model(*_dictionaries(positive, negative, seed), mean, scale, _logistic((x - mean) / scale, y))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
