@@ -43,11 +43,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        *([whole_row(docs).alias("row")] if carry else []))
     keyed = text.withColumn("len", F.length("norm")).withColumn("prefix", F.xxhash64(F.substring("norm", 1, prefix_chars)))
 
-    keys = materialise(keyed.select("len", "prefix"), "dedup-keys")
-    lengths = keys.groupBy("len").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("len")
-    survivors = materialise(
-        keys.join(lengths, "len", "left_semi").groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").select("len", "prefix", F.lit(True).alias("open")), "dedup-open")
+    # Counted per (length, prefix) first, so that copies reach the grouping by length as one row.
+    pairs = materialise(keyed.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")), "dedup-pairs")
+    lengths = pairs.groupBy("len").agg(F.sum("n").alias("rows")).filter("rows > 1").select("len")
+    survivors = materialise(pairs.join(lengths, "len", "left_semi").filter("n > 1").select("len", "prefix", F.lit(True).alias("open")),
+                            "dedup-open")
     if survivors.count() <= BROADCAST_KEYS:
         survivors = F.broadcast(survivors)
 
