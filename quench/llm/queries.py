@@ -48,6 +48,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quench.llm import html_extract
+
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quench.llm import lm_score
 
@@ -61,7 +68,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op3_toxicity, op4_token_files, op5_exact_dedup, op9_lm_scores,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op3_toxicity, op4_token_files, op5_exact_dedup, op8_html_extraction, op9_lm_scores,
                                    op10_simhash_near_dedup)}
 
 _BENCH_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
