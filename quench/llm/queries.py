@@ -48,6 +48,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quench.llm import pii
+
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.train(docs))
+    return found.select(F.col("id").alias("doc_id"),
+                        *[F.size(pii.of_kind("base", k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+                        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.concat("base", "added")).alias("spans"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quench.llm import secrets
 
@@ -77,7 +87,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op3_toxicity, op4_token_files, op5_exact_dedup, op7_secret_scan, op8_html_extraction, op9_lm_scores,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op3_toxicity, op4_token_files, op5_exact_dedup, op6_personal_data, op7_secret_scan, op8_html_extraction, op9_lm_scores,
                                    op10_simhash_near_dedup)}
 
 _BENCH_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
