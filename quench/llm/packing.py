@@ -7,7 +7,8 @@ subset-sum over the available lengths (large ones first, as many copies as are l
 finds the fullest feasible combination. The combination is then removed as many times
 as the counts allow, which is what removing one bin at a time would do, since the
 search gives the same answer until a length runs out. The plan is therefore bounded by
-the capacity, not by the corpus.
+the capacity, not by the corpus. Each bin starts from the longest piece left, the usual
+refinement of the heuristic: without it long pieces are left over with nothing to fill them.
 
 The tokenizing pass numbers the pieces of each length within its task. A count per
 (task, length), pre-aggregated, turns that into a rank among all pieces of the length
@@ -96,11 +97,19 @@ def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
     return dict(out)
 
 
+def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
+    """One bin: the longest piece left and the fullest feasible combination beside it."""
+    longest = max(n for n, c in counts.items() if c > 0)
+    beside = fullest({n: c - (n == longest) for n, c in counts.items() if n <= capacity - longest}, capacity - longest)
+    beside[longest] = beside.get(longest, 0) + 1
+    return beside
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
     """(repeats, {length: copies}) in the order in which minimum bin slack fills bins."""
     counts, out = {n: c for n, c in histogram.items() if c > 0}, []
     while counts:
-        combination = fullest(counts, capacity)
+        combination = fill(counts, capacity)
         repeats = min(counts[n] // c for n, c in combination.items())
         out.append((repeats, combination))
         for n, c in combination.items():
