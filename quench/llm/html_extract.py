@@ -122,7 +122,7 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     while length < depth:
         step = min(length, depth - length)
         after = np.full(n, -1, np.int64)
-        after[:n - step] = rank[step:]
+        after[:max(0, n - step)] = rank[step:]
         rank = np.unique(rank * (n + 1) + after + 1, return_inverse=True)[1].astype(np.int64)
         length += step
     return rank
