@@ -41,7 +41,3 @@ def hash_gauss(seed, *parts) -> Column:
     u2 = hash_uniform(seed, *parts, offset=14)
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
 
-
-def row_id_expr(*cols: str) -> Column:
-    """Stable text key from integer-valued columns (no float-to-text)."""
-    return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in cols]))

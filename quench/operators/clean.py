@@ -24,9 +24,15 @@ def feature_columns(df: DataFrame, label: str = LABEL, exclude=(ROW_ID,)) -> lis
 
 def remove_duplicates(df: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     """Full-row dedupe over data columns (NULLs compare equal); ``row_id`` is
-    not part of the identity. One shuffle on the row hash with map-side dedupe."""
+    not part of the identity, and the least one of equal rows stays, whatever the
+    partitioning. One shuffle on the row hash with map-side aggregation."""
     cols = key_cols or [c for c in df.columns if c != ROW_ID]
-    return df.dropDuplicates(cols)
+    rest = [c for c in df.columns if c not in cols]
+    if not rest:
+        return df.dropDuplicates(cols)
+    first = [ROW_ID] * (ROW_ID in rest) + [c for c in rest if c != ROW_ID]
+    kept = df.groupBy(*cols).agg(F.min(F.struct(*first)).alias("_kept"))
+    return kept.select(*[F.col(f"_kept.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
 
 
 def missing_feature_columns(df: DataFrame, features: list[str]) -> list[str]:
@@ -114,22 +120,21 @@ def detect_outliers(df: DataFrame, features: list[str] | None = None, method: st
     """Long table (feature, row key, value) of flagged values; rows are kept
     in the data. NULL is never an outlier."""
     features = features or feature_columns(df)
-    bounds = outlier_bounds(df, features, method, threshold)
     if method == "zscore":
-        # |x - mean| / std > t  <=>  x outside mean +- t*std, computed as the ratio
+        # |x - mean| / std > t, computed as the ratio
         row = df.agg(*[F.avg(F.col(c)).alias(f"{c}__m") for c in features],
                      *[F.stddev_samp(F.col(c)).alias(f"{c}__s") for c in features]).first()
+    else:
+        bounds = outlier_bounds(df, features, method, threshold)
     flags = []
     for c in features:
-        lo, hi = bounds[c]
         x = F.col(c)
-        if lo is None:
-            flag = F.lit(False)
-        elif method == "zscore":
+        if method == "zscore":
             m, s = row[f"{c}__m"], row[f"{c}__s"]
-            flag = F.abs((x - F.lit(m)) / F.lit(s)) > F.lit(threshold)
+            flag = F.lit(False) if m is None or not s or s != s else F.abs((x - F.lit(m)) / F.lit(s)) > F.lit(threshold)
         else:
-            flag = (x < F.lit(lo)) | (x > F.lit(hi))
+            lo, hi = bounds[c]
+            flag = F.lit(False) if lo is None else (x < F.lit(lo)) | (x > F.lit(hi))
         flags.append(F.when(flag, F.struct(F.lit(c).alias("feature"), x.cast("double").alias("value"))))
     keys = [key] if key in df.columns else []
     return (

@@ -2,10 +2,10 @@
 
 Distributed and deterministic:
 
-* sampling -- each tree gets <= psi (256) rows chosen by content hash:
-  a Bernoulli pre-filter keeps ~3*T*psi rows, a second hash assigns them to
-  trees, a third ranks them inside the tree (window per tree: ~3*psi rows).
-  The same rows are chosen for any partitioning.
+* sampling -- a pool of about 3*T*psi rows (all rows, if there are fewer) is
+  chosen by content hash; every tree draws its own min(psi, n) rows from the
+  whole pool by hash(seed, tree, row), so trees see samples of one size at any
+  input size. The same rows are chosen for any partitioning.
 * building -- ``groupBy(tree).applyInPandas`` grows the T trees in parallel
   with NumPy (random feature, uniform split between the node's min and max,
   depth limit ceil(log2 psi)); the RNG of a tree is seeded by (seed, tree).
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quench.functions.constants import LABEL, ROW_ID, SEED
-from quench.functions.hashing import hash_bits, hash_uniform
+from quench.functions.hashing import hash_uniform
 from quench.operators.quantiles import exact_quantiles
 
 EULER = 0.5772156649015329
@@ -137,9 +137,12 @@ def fit_isolation_forest(train: DataFrame, features: list[str], n_trees: int = 1
     n = train.count()
     psi = int(min(psi, n))
     keep = min(1.0, 3.0 * n_trees * psi / max(n, 1))
-    sample = train.where(hash_uniform(seed, "if-keep", F.col(key)) < F.lit(keep)).select(
-        (hash_bits(seed, "if-tree", F.col(key)) % n_trees).cast("int").alias("tree"),
-        hash_bits(seed, "if-rank", F.col(key)).alias("_h"), F.col(key), *features)
+    pool = train.where(hash_uniform(seed, "if-keep", F.col(key)) < F.lit(keep)).select(F.col(key), *features)
+    pool = pool.checkpoint(eager=True)  # about 3 * n_trees * psi rows at most, whatever the input
+    share = min(1.0, 3.0 * psi / max(pool.count(), 1))
+    draw = F.xxhash64(F.lit(seed), F.col("tree"), F.col(key))
+    sample = (pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+              .withColumn("_h", draw).where(F.pmod("_h", F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))))
     w = Window.partitionBy("tree").orderBy("_h", key)
     sample = sample.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r", "_h")
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -160,11 +163,14 @@ def fit_isolation_forest(train: DataFrame, features: list[str], n_trees: int = 1
     nodes = sample.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
     # bounded by n_trees * (2 * psi - 1) rows, independent of the data size
     pdf = nodes.toPandas()
+    sizes = pdf[pdf["node"] == 0].set_index("tree")["size"]
+    if len(sizes) != n_trees:
+        raise ValueError("the training table is empty")
     model = IsolationForestModel(features, pdf, psi, n_trees)
     if contamination is None:
         share0 = train.agg(F.avg((F.col(label) == 0).cast("double"))).first()[0] if label in train.columns else 0.1
         contamination = min(share0 or 0.0, 0.5)
-    scored = model.score(train.select(*features))
+    scored = model.score(train.select(*features)).select("anomaly_score").checkpoint(eager=True)
     q = exact_quantiles(scored, ["anomaly_score"], [1.0 - contamination])["anomaly_score"][1.0 - contamination]
     model.threshold = q
     model.contamination = contamination

@@ -1,5 +1,5 @@
-"""Exact k-nearest neighbours without emitting all pairs (C5 imputation, M6
-classifier).
+"""Exact k-nearest neighbours: C5 imputation without emitting all pairs, M6
+classifier in blocks.
 
 Grid join with doubling cell width: for any coordinate ``c`` present in
 both rows, ``|q_c - d_c| <= dist(q, d)`` (also for the NaN-aware distance,
@@ -24,6 +24,8 @@ import logging
 import math
 import time
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,8 +54,8 @@ def _pick_bands(df: DataFrame, features: list[str], m: int = 3) -> list[str]:
 
 
 def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k: int, bands: list[str],
-                  qid: str, did: str, payload: list[str], max_rounds: int = 40, pilot: bool = False,
-                  grid_extra: list[str] | None = None, group: str | None = None, n_groups: int = 1) -> DataFrame:
+                  qid: str, did: str, payload: list[str], max_rounds: int = 40,
+                  group: str | None = None, n_groups: int = 1) -> DataFrame:
     """For each query row: the k nearest donors' ``payload`` columns aggregated as
     ``avg_<col>`` (uniform mean), plus ``n_neighbors``. ``donors`` carries a
     multiplicity column ``_mult`` (collapsed copies). ``bands`` are complete
@@ -72,29 +74,16 @@ def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k:
     volume = 1.0
     for sp in spans:
         volume *= sp
-    # start with cells expected to hold about k donors (uniform density) ...
+    # start with cells expected to hold about k donors at even density; only unresolved queries double them
     per_group = float(stats["n"]) / max(n_groups, 1)
     width = max((k * volume / per_group) ** (1.0 / len(bands)), 1e-12)
-    cols = list(features) + [c for c in (grid_extra or []) if c not in features]
+    cols = list(features)
     tag = [F.col(group).alias("_g")] if group else []
     q = queries.select(F.col(qid).alias("qid"), *tag, *[F.col(f).alias(f"q_{f}") for f in cols])
     # donors are probed every round: materialise them once (lineage cut in the shared folder)
     d = donors.select(F.col(did).alias("did"), "_mult", *tag, *[F.col(f).alias(f"d_{f}") for f in cols],
                       *[F.col(p).alias(f"v_{p}") for p in payload]).checkpoint(eager=True)
     offsets = list(itertools.product((-1, 0, 1), repeat=len(bands)))
-    if pilot and stats["n"] > 50_000:
-        # ... then learn it: run the same exact rounds on a hash sample of the
-        # queries and start at the 90th percentile of their k-th distances, so
-        # most queries finish in the first round even on clustered data
-        n_q = q.count()
-        if n_q > 5_000:
-            frac = min(1.0, 500.0 / n_q)
-            sample_q = q.where(F.abs(F.xxhash64("qid")) % 1_000_000 < int(frac * 1_000_000))
-            kth = _knn_rounds(sample_q, d, features, k, bands, payload, width, spans, offsets, max_rounds,
-                              keep_kth=True)[0]
-            q90 = kth.agg(F.percentile(F.sqrt("_kth"), 0.9).alias("w")).first()["w"]
-            if q90:
-                width = max(width, float(q90))
     results, pending = _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_rounds)
     out = results
     if pending is not None:
@@ -107,7 +96,7 @@ def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k:
     return out.unionByName(missing).withColumnRenamed("qid", qid)
 
 
-def _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_rounds, keep_kth=False):
+def _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_rounds):
     """Doubling-width rounds; returns (final rows of all resolved queries, unresolved or None)."""
     results = []
     pending = q
@@ -138,7 +127,7 @@ def _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_ro
         agg = agg.checkpoint(eager=True)
         ok = (F.col("n_neighbors") >= k) & (F.col("_kth") <= F.lit(width * width))
         done = agg.where(ok) if not final_round else agg
-        results.append(done if keep_kth else done.drop("_kth"))
+        results.append(done.drop("_kth"))
         if final_round:
             pending = None
             break
@@ -163,6 +152,11 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
     """Each missing value = uniform mean of that feature over the k nearest
     donors (rows with it present) by NaN-aware Euclidean distance over all
     features; the column mean when no donor is comparable."""
+    if key not in df.columns:
+        # rows without a key of their own get one for the search; equal rows have equal neighbours
+        keyed = df.withColumn(key, F.xxhash64(*features)).checkpoint(eager=True)
+        filled = knn_impute(keyed, features, k, key)
+        return filled.drop(key)
     bands = _pick_bands(df, features)
     row = df.agg(*[F.avg(f).alias(f) for f in features],
                  *[F.count_if(F.col(f).isNull()).alias(f"{f}__null") for f in features]).first()
@@ -175,7 +169,7 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
     queries = donors = None
     for f in missing_feats:
         qf = df.where(F.col(f).isNull()).select(
-            F.concat_ws("|", F.col(key), F.lit(f)).alias("_qid"), F.lit(f).alias("_feature"), *features)
+            F.struct(F.col(key).alias("key"), F.lit(f).alias("feature")).alias("_qid"), F.lit(f).alias("_feature"), *features)
         df_ = _collapse(df.where(F.col(f).isNotNull()), features, key).select(
             key, "_mult", F.lit(f).alias("_feature"), *features, F.col(f).alias("_val"))
         queries = qf if queries is None else queries.unionByName(qf)
@@ -183,10 +177,9 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
     got = knn_aggregate(queries, donors, features, k, bands, "_qid", key, ["_val"], group="_feature",
                         n_groups=len(missing_feats))
     mean_of = F.create_map(*[x for f in missing_feats for x in (F.lit(f), F.lit(row[f]))])
-    long = got.select(F.substring_index("_qid", "|", 1).cast(df.schema[key].dataType).alias(key),
-                      F.substring_index("_qid", "|", -1).alias("_feature"), "avg__val").select(
+    long = got.select(F.col("_qid.key").alias(key), F.col("_qid.feature").alias("_feature"), "avg__val").select(
         key, "_feature", F.coalesce(F.col("avg__val"), mean_of[F.col("_feature")]).alias("_fill"))
-    wide = long.groupBy(key).pivot("_feature", [f for f in missing_feats]).agg(F.first("_fill"))
+    wide = long.groupBy(key).pivot("_feature", [f for f in missing_feats]).agg(F.min("_fill"))
     joined = df.join(wide.select(key, *[F.col(f).alias(f"_fill_{f}") for f in missing_feats]), key, "left")
     return joined.select(*[
         F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) if c in missing_feats else F.col(c) for c in df.columns
@@ -196,45 +189,54 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
 class KNNClassifier:
     """M6: 5-nearest-neighbour vote (uniform), probability = share of class 1.
 
-    Training data is complete, so the grid can use distances to three pivot
-    rows instead of raw coordinates: by the triangle inequality
-    |d(q, p) - d(x, p)| <= d(q, x), which is the same lower bound the grid join
-    needs, and pivot distances separate points far better than any three of
-    many standardised coordinates. Pivots are fixed by content hash."""
+    Test rows meet the training rows in blocks: the training side is a matrix of at most
+    ``max_train_rows`` rows (those of least content hash -- the documented bound of the fit),
+    sent to the tasks once; each Arrow batch computes exact distances block by block with
+    NumPy and keeps the k smallest, ties by key. With no more training rows than the
+    bound the vote is exact."""
 
     name = "K-Nearest Neighbors"
 
-    def __init__(self, k: int = 5, n_pivots: int = 3):
-        self.k = k
-        self.n_pivots = n_pivots
-
-    def _with_pivots(self, df: DataFrame) -> DataFrame:
-        out = df
-        for j, p in enumerate(self.pivots):
-            d2 = sum(((F.col(f) - F.lit(float(p[f]))) * (F.col(f) - F.lit(float(p[f]))) for f in self.features),
-                     F.lit(0.0))
-            out = out.withColumn(f"_pv{j}", F.sqrt(d2))
-        return out
+    def __init__(self, k: int = 5, max_train_rows: int = 100_000, block: int = 256):
+        self.k, self.max_train_rows, self.block = k, max_train_rows, block
 
     def fit(self, train: DataFrame, features: list[str], label: str = LABEL, key: str = ROW_ID):
         from quench.functions.hashing import hash_bits
 
         self.features, self.label, self.key = list(features), label, key
-        collapsed = _collapse(train, features, key, [F.sum(F.col(label).cast("double")).alias("_pos")]) \
-            .withColumn("_share", F.col("_pos") / F.col("_mult"))
-        # pivots: the rows with the smallest content hashes (a few rows reach the driver)
-        piv = collapsed.orderBy(hash_bits(42, "pivot", F.col(key)), key).limit(self.n_pivots).collect()
-        self.pivots = [{f: r[f] for f in features} for r in piv]
-        self.train = self._with_pivots(collapsed).checkpoint(eager=True)
-        self.bands = [f"_pv{j}" for j in range(len(self.pivots))]
+        rows = (train.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("int").alias("_y"), key)
+                .withColumn("_h", hash_bits(42, "knn", F.col(key))).orderBy("_h", key).limit(self.max_train_rows).toPandas()
+                .sort_values(key))
+        self.x = np.ascontiguousarray(rows[features].to_numpy(dtype=float))
+        self.y = rows["_y"].to_numpy(dtype=float)
         return self
 
+    def votes(self, q: np.ndarray) -> np.ndarray:
+        """Share of class 1 among the k nearest training rows of each row of ``q``."""
+        out = np.full(len(q), np.nan)
+        k = min(self.k, len(self.x))
+        for s in range(0, len(q), self.block) if k else ():
+            b = q[s:s + self.block]
+            d = np.zeros((len(b), len(self.x)))
+            for f in range(b.shape[1]):  # one feature at a time: exact differences, bounded memory
+                diff = b[:, f, None] - self.x[None, :, f]
+                d += diff * diff
+            edge = np.partition(d, k - 1, axis=1)[:, k - 1]
+            for i in range(len(b)):
+                near = np.flatnonzero(d[i] <= edge[i])
+                near = near[np.argsort(d[i][near], kind="stable")][:k]
+                out[s + i] = self.y[near].mean()
+        return out
+
     def predict(self, df: DataFrame) -> DataFrame:
-        got = knn_aggregate(self._with_pivots(df), self.train, self.features, self.k, self.bands, self.key,
-                            self.key, ["_share"], grid_extra=self.bands)
-        scored = df.join(got, self.key, "left")
-        return scored.withColumn("probability", F.col("avg__share")).withColumn(
-            "prediction", (F.col("avg__share") > 0.5).cast("int")).drop("avg__share", "n_neighbors")
+        bc = df.sparkSession.sparkContext.broadcast(self)
+
+        @F.pandas_udf("double")
+        def share(rows: pd.DataFrame) -> pd.Series:
+            return pd.Series(bc.value.votes(rows.to_numpy(dtype=float)))
+
+        p = share(F.struct(*[F.col(f).cast("double").alias(f) for f in self.features]))
+        return df.withColumn("probability", F.when(~F.isnan(p), p)).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
 
     def feature_importance(self):
         return None

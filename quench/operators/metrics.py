@@ -38,27 +38,38 @@ def _prf(tp: Column, fp: Column, fn: Column):
 
 def classification_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """A2-A4: accuracy and precision/recall/F1 for class 1 and for class 0."""
-    c = confusion_counts(df, label, pred)
+    return _metrics_of(confusion_counts(df, label, pred)).drop("tn", "fp", "fn", "tp")
+
+
+def _metrics_of(c: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     p1, r1, f1 = _prf(tp, fp, fn)
     p0, r0, f0 = _prf(tn, fn, fp)
     return c.select(
         _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         p1.alias("precision"), r1.alias("recall"), f1.alias("f1_score"),
-        p0.alias("precision_unsafe"), r0.alias("recall_unsafe"), f0.alias("f1_unsafe"),
+        p0.alias("precision_unsafe"), r0.alias("recall_unsafe"), f0.alias("f1_unsafe"), "tn", "fp", "fn", "tp",
     )
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", rows_per_bin: int = 2_000_000) -> DataFrame:
-    """A5: one row ``roc_auc``; ties count one half; NULL when one class is absent."""
-    g = df.groupBy(score).agg(
-        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
-    pre = prefix_sums(g, score, {"_neg": "_neg"}, rows_per_bin=rows_per_bin)
+def _auc(counts: DataFrame, score: str, rows_per_bin: int) -> DataFrame:
+    """AUC from one row per score with ``_pos`` and ``_neg`` counts; products are decimals, which
+    hold the pairs of 10^18 rows."""
+    pre = prefix_sums(counts, score, {"_neg": "_neg"}, rows_per_bin=rows_per_bin)
+    d = lambda c: c.cast("decimal(19,0)")
     tot = pre.agg(
-        F.sum(F.col("_pos") * (2 * F.col("_neg_before") + F.col("_neg"))).alias("_num"),
+        F.sum(d(F.col("_pos")) * d(2 * F.col("_neg_before") + F.col("_neg"))).alias("_num"),
         F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
     return tot.select(F.try_divide(F.col("_num").cast("double"),
-                                   (2 * F.col("_p") * F.col("_n")).cast("double")).alias("roc_auc"))
+                                   F.lit(2.0) * F.col("_p").cast("double") * F.col("_n").cast("double")).alias("roc_auc"))
+
+
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", rows_per_bin: int = 2_000_000) -> DataFrame:
+    """A5: one row ``roc_auc``; ties count one half; NULL when one class is absent. Rows without a
+    score are left out."""
+    g = df.where(F.col(score).isNotNull()).groupBy(score).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
+    return _auc(g, score, rows_per_bin)
 
 
 def classification_report(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -84,12 +95,19 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
 
 
 def evaluate_model(df: DataFrame, label: str = "label", pred: str = "prediction", score: str = "score") -> DataFrame:
-    """One row with every headline metric plus the confusion counts."""
-    m = classification_metrics(df, label, pred)
-    a = roc_auc(df, label, score)
-    c = confusion_counts(df, label, pred)
-    # three one-row frames: the joins pair single rows
-    return m.crossJoin(a).crossJoin(c)
+    """One row with every headline metric plus the confusion counts, from one scan: rows are
+    counted per (score, label, prediction), written, and everything follows from the counts."""
+    g = (df.groupBy(F.col(score).alias("_s"), F.col(label).alias("_y"), F.col(pred).alias("_p_"))
+         .agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True))
+    n = lambda y, p: F.coalesce(F.sum(F.when((F.col("_y") == y) & (F.col("_p_") == p), F.col("_c"))), F.lit(0))
+    c = g.agg(n(0, 0).alias("tn"), n(0, 1).alias("fp"), n(1, 0).alias("fn"), n(1, 1).alias("tp"))
+    m = _metrics_of(c)
+    per_score = g.where(F.col("_s").isNotNull()).groupBy("_s").agg(
+        F.coalesce(F.sum(F.when(F.col("_y") == 1, F.col("_c"))), F.lit(0)).alias("_pos"),
+        F.coalesce(F.sum(F.when(F.col("_y") == 0, F.col("_c"))), F.lit(0)).alias("_neg"))
+    # two one-row frames: the join pairs single rows
+    return m.crossJoin(_auc(per_score, "_s", 2_000_000)).select(
+        "accuracy", "precision", "recall", "f1_score", "precision_unsafe", "recall_unsafe", "f1_unsafe", "roc_auc", "tn", "fp", "fn", "tp")
 
 
 def cv_summary(df: DataFrame, fold: str = "fold", label: str = "label", pred: str = "prediction") -> DataFrame:

@@ -9,6 +9,7 @@ binned evaluators.
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quench.functions.constants import LABEL, SEED
@@ -106,11 +107,27 @@ class SparkClassifier:
         return sorted(zip(names, [float(v) for v in imp]), key=lambda t: (-t[1], t[0]))
 
     def save(self, path: str) -> None:
-        """Fitted stages written with ``PipelineModel`` persistence."""
-        self.model.write().overwrite().save(path)
+        """The fitted stages (``PipelineModel`` persistence) and what scoring needs beside them."""
+        self.model.write().overwrite().save(f"{path}/stages")
+        spark = SparkSession.getActiveSession()
+        meta = {"name": self.name, "rff": self.rff, "features": self.features, "label": self.label}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
+    @classmethod
+    def load(cls, path: str) -> "SparkClassifier":
+        """A classifier that predicts as the saved one did."""
+        meta = json.loads(SparkSession.getActiveSession().read.text(f"{path}/meta").first()[0])
+        out = cls(meta["name"], None, meta["rff"])
+        out.features, out.label = meta["features"], meta["label"]
+        out.model = PipelineModel.load(f"{path}/stages")
+        return out
 
-def make_model(name: str, n_train: int, seed: int = SEED) -> SparkClassifier:
+
+#: Spark's deepest tree; the reference leaves the forest's depth unlimited.
+FOREST_DEPTH = 30
+
+
+def make_model(name: str, n_train: int, seed: int = SEED, forest_depth: int = FOREST_DEPTH) -> SparkClassifier:
     """M1-M8 with the reference's settings mapped to Spark parameters."""
     if name == "Logistic Regression":
         # C = 1 with L2 -> regParam = 1 / (C * n); no internal standardisation
@@ -119,7 +136,7 @@ def make_model(name: str, n_train: int, seed: int = SEED) -> SparkClassifier:
     if name == "Decision Tree":
         return SparkClassifier(name, DecisionTreeClassifier(maxDepth=30, maxBins=128, seed=seed))
     if name == "Random Forest":
-        return SparkClassifier(name, RandomForestClassifier(numTrees=100, maxDepth=16, maxBins=128, seed=seed,
+        return SparkClassifier(name, RandomForestClassifier(numTrees=100, maxDepth=forest_depth, maxBins=128, seed=seed,
                                                             featureSubsetStrategy="sqrt",
                                                             maxMemoryInMB=1024))
     if name == "Gradient Boosting":
@@ -128,6 +145,8 @@ def make_model(name: str, n_train: int, seed: int = SEED) -> SparkClassifier:
         return SparkClassifier(name, LinearSVC(maxIter=200, regParam=1.0 / max(n_train, 1)), rff=64)
     if name == "Naive Bayes":
         return SparkClassifier(name, NaiveBayes(modelType="gaussian"))
+    if name == "XGBoost (default rate)":  # experiments E2-E5
+        return SparkClassifier(name, GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.3, seed=seed))
     if name == "XGBoost":
         return SparkClassifier(name, GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.1, seed=seed))
     if name == "K-Nearest Neighbors":

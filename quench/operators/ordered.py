@@ -2,17 +2,20 @@
 
 A window ``ORDER BY x`` with no ``PARTITION BY`` moves every row into one
 task. Instead the order key is cut into value bins (edges from
-``approxQuantile``, so bins hold similar row counts even for skewed keys):
+``approxQuantile``, so bins hold similar row counts even for skewed keys, or
+evenly spaced edges for a key known to be uniform):
 
 * within a bin: a window ``PARTITION BY (parts, bin) ORDER BY key`` --
   many bounded tasks;
 * across bins: per-bin totals (a table of #parts x #bins rows), a prefix
-  over that small table, joined back by a broadcast whose size is bounded
-  by the bin count, not by the data.
+  over that small table, joined back null-safely, so rows whose partition
+  value or order key is NULL keep their place (NULL keys come first, as in
+  Spark's ascending order).
 
-The order (``order_col`` plus ``tiebreak``) must be unique per row; callers
-group tied values first (AUC and average ranks do). Results are exact for
-any bin count; ``rows_per_bin`` only steers task size.
+The same path runs at every size; the bins (at least one a core, at most
+``MAX_BINS``) only steer task size. The order (``order_col`` plus
+``tiebreak``) must be unique per row; callers group tied values first (AUC
+and average ranks do).
 """
 
 from __future__ import annotations
@@ -24,44 +27,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_BINS = 10_000
+#: per-bin totals that may be broadcast (a few numbers each)
+BROADCAST_ROWS = 200_000
+
+
+def _bins(df: DataFrame, order_col: str, nbins: int, uniform: tuple[float, float] | None):
+    if uniform:
+        lo, hi = uniform
+        edges = [lo + (hi - lo) * i / nbins for i in range(1, nbins)]
+    else:
+        probs = [i / nbins for i in range(1, nbins)]
+        edges = sorted({e for e in df.stat.approxQuantile(order_col, probs, 1.0 / (4 * nbins)) if math.isfinite(e)})
+    splits = [-math.inf, *edges, math.inf]
+    binned = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bin", handleInvalid="keep").transform(
+        df.withColumn("_ord", F.col(order_col).cast("double")))
+    return binned.withColumn("_bin", F.when(F.col("_ord").isNull(), F.lit(-1.0)).otherwise(F.col("_bin"))).drop("_ord")
+
+
 def prefix_sums(df: DataFrame, order_col: str, sums: dict[str, str], partition_cols: list[str] | None = None,
-                tiebreak: list[str] | None = None, rows_per_bin: int = 2_000_000,
-                n_rows: int | None = None) -> DataFrame:
+                tiebreak: list[str] | None = None, rows_per_bin: int = 2_000_000, n_rows: int | None = None,
+                uniform: tuple[float, float] | None = None) -> DataFrame:
     """Append ``{name}_before``: sum of ``sums[name]`` over rows strictly earlier in
-    the order within the same partition (partition columns must be low-cardinality)."""
+    the order within the same partition. ``uniform``: the range of an order key known
+    to be evenly spread (a hash), which needs no quantile sketch."""
     parts = list(partition_cols or [])
     tiebreak = list(tiebreak or [])
     if n_rows is None:
         n_rows = df.count()
-    nbins = max(1, min(200_000, math.ceil(n_rows / max(rows_per_bin, 1))))
-    if n_rows >= 20_000:
-        # at least one bin per core, so the within-bin windows run in parallel
-        nbins = max(nbins, df.sparkSession.sparkContext.defaultParallelism)
-    if nbins > 1:
-        probs = [i / nbins for i in range(1, nbins)]
-        edges = sorted(set(df.stat.approxQuantile(order_col, probs, 1.0 / (4 * nbins))))
-        splits = [-math.inf] + [e for e in edges if math.isfinite(e)] + [math.inf]
-        binned = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bin", handleInvalid="keep").transform(
-            df.withColumn("_ord", F.col(order_col).cast("double"))
-        ).drop("_ord")
-    else:
-        binned = df.withColumn("_bin", F.lit(0.0))
+    nbins = max(2, df.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / max(rows_per_bin, 1)))
+    binned = _bins(df, order_col, min(MAX_BINS, nbins), uniform)
     within = (Window.partitionBy(*parts, "_bin").orderBy(order_col, *tiebreak)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = binned
     for name, expr in sums.items():
         out = out.withColumn(f"_{name}_cum", F.sum(F.col(expr)).over(within))
-    if nbins > 1:
-        totals = binned.groupBy(*parts, "_bin").agg(*[F.sum(F.col(e)).alias(f"_{n}_tot") for n, e in sums.items()])
-        across = Window.partitionBy(*parts).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(*parts, "_bin", *[
-            F.coalesce(F.sum(f"_{n}_tot").over(across), F.lit(0)).alias(f"_{n}_off") for n in sums
-        ])
-        # bounded by (#partitions x #bins) rows, independent of the data size
-        out = out.join(F.broadcast(offsets), [*parts, "_bin"], "left")
-    else:
-        for n in sums:
-            out = out.withColumn(f"_{n}_off", F.lit(0))
+    totals = binned.groupBy(*parts, "_bin").agg(*[F.sum(F.col(e)).alias(f"_{n}_tot") for n, e in sums.items()])
+    totals = totals.checkpoint(eager=True)
+    across = Window.partitionBy(*parts).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*parts, "_bin"])], *[
+        F.coalesce(F.sum(f"_{n}_tot").over(across), F.lit(0)).alias(f"_{n}_off") for n in sums])
+    if totals.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*parts, "_bin"])]
+    out = out.join(offsets, same, "left")
     for name, expr in sums.items():
         out = out.withColumn(f"{name}_before", F.col(f"_{name}_off") + F.col(f"_{name}_cum") - F.col(expr))
-    return out.drop("_bin", *[f"_{n}_cum" for n in sums], *[f"_{n}_off" for n in sums])
+    return out.drop("_bin", *[f"_k{i}" for i in range(len(parts) + 1)], *[f"_{n}_cum" for n in sums], *[f"_{n}_off" for n in sums])

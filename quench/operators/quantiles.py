@@ -6,19 +6,20 @@ distinct value into a single task per group; at 100 TB that is the whole
 column. Here, for each wanted rank ``r`` (0-based, ascending, NULLs skipped):
 
 1. n = count(col) per column (one aggregate pass over all columns).
-2. If n is small (<= ``max_bracket``) Spark's exact ``percentile`` runs in
-   one aggregate (its per-column value map is bounded by ``max_bracket``).
-   Otherwise ``percentile_approx`` (guaranteed rank error <= n/accuracy)
-   proposes values a <= v_r <= b; one aggregate of ``count_if`` verifies
-   below(a) <= r < upto(b) and widens a side to +-inf when it does not hold;
-   a bracket that is still large is refined by another approximate pass
-   restricted to it.
+2. While a bracket of rows around a rank is large, ``percentile_approx`` (a
+   sketch of ``accuracy`` entries, so a few KB a map task) proposes values
+   a <= v_r <= b; one aggregate of ``count_if`` verifies below(a) <= r < upto(b)
+   and widens a side to the old bound when it does not hold. A pass shrinks a
+   bracket about ``accuracy / 4`` times, unless copies of one value fill it,
+   and those collapse below.
 3. One scan tags each row with the brackets its value falls in, rows are
    grouped by (bracket, value) -- duplicates collapse, so a value held by a
-   third of all rows is one row -- and a window per bracket (bounded by
+   third of all rows is one row -- and a window per bracket (about
    ``max_bracket`` distinct values) yields the cumulative counts that
    locate rank r exactly.
 
+The same path runs at every size.
+
 Only a few numbers per (column, probability) reach the driver.
 """
 
@@ -30,6 +31,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+ACCURACY = 1_000
+MAX_BRACKET = 100_000
+
 
 @dataclass
 class _Bracket:
@@ -60,9 +64,7 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int, max_bracket:
         else:
             for r in b.ranks:
                 work.append(_Bracket(b.col, b.lo, b.hi, b.below, b.size, [r]))
-    for _ in range(6):
-        if not work:
-            break
+    while work:
         # one approximate pass for all big brackets: percentile_approx over rows in each bracket
         aggs = []
         plan = []
@@ -98,12 +100,11 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int, max_bracket:
             else:
                 nxt.append(nb)
         work = nxt
-    out.extend(work)
     return out
 
 
 def exact_ranks(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, int],
-                accuracy: int = 100_000, max_bracket: int = 2_000_000) -> dict[tuple[str, int], float]:
+                accuracy: int = ACCURACY, max_bracket: int = MAX_BRACKET) -> dict[tuple[str, int], float]:
     """Value at each wanted 0-based rank per column."""
     brackets = [
         _Bracket(c, None, None, 0, counts[c], sorted(set(rs))) for c, rs in wanted.items() if rs and counts[c] > 0
@@ -139,29 +140,14 @@ def exact_ranks(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, i
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    accuracy: int = 100_000, max_bracket: int = 2_000_000) -> dict[str, dict[float, float | None]]:
+                    accuracy: int = ACCURACY, max_bracket: int = MAX_BRACKET) -> dict[str, dict[float, float | None]]:
     """{col: {p: quantile}} with linear interpolation; None for an all-NULL column."""
     counts_row = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
     counts = {c: int(counts_row[c]) for c in cols}
     return exact_quantiles_with_counts(df, cols, probs, counts, accuracy, max_bracket)
 
 
-def exact_quantiles_with_counts(df, cols, probs, counts, accuracy=100_000, max_bracket=2_000_000):
-    # columns small enough for one task: Spark's exact ``percentile`` (same
-    # linear interpolation) in a single aggregate -- its per-group value map is
-    # bounded by max_bracket, the bound the bracket path accepts anyway
-    small = [c for c in cols if 0 < counts[c] <= max_bracket]
-    result: dict[str, dict[float, float | None]] = {}
-    if small:
-        row = df.agg(*[F.percentile(F.col(c), list(probs)).alias(c) for c in small]).first()
-        for c in small:
-            result[c] = {p: float(v) for p, v in zip(probs, row[c])}
-    rest = [c for c in cols if c not in result]
-    result.update(_bracketed_quantiles(df, rest, probs, counts, accuracy, max_bracket))
-    return result
-
-
-def _bracketed_quantiles(df, cols, probs, counts, accuracy, max_bracket):
+def exact_quantiles_with_counts(df, cols, probs, counts, accuracy=ACCURACY, max_bracket=MAX_BRACKET):
     wanted: dict[str, list[int]] = {}
     for c in cols:
         n = counts[c]

@@ -75,11 +75,23 @@ def average_ranks(df: DataFrame, col: str, out: str, rows_per_bin: int = 2_000_0
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row (spearman_correlation, n) = Pearson of average ranks."""
-    both = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    rx = average_ranks(both, x, "_rx")
-    rxy = average_ranks(rx, y, "_ry")
-    return rxy.agg(F.corr("_rx", "_ry").alias("spearman_correlation"), F.count(F.lit(1)).alias("n"))
+    """One row (spearman_correlation, n) = Pearson of average ranks.
+
+    Rows are counted per (x, y) first; ranks come from the distinct values, and the
+    correlation from weighted sums of centred ranks, so no join sees single rows."""
+    pairs = (df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
+             .agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
+    n = pairs.agg(F.sum("c")).first()[0] or 0
+    ranked = pairs
+    for v in ("x", "y"):
+        values = pairs.groupBy(v).agg(F.sum("c").alias("_cnt"))
+        pre = prefix_sums(values, v, {"_cnt": "_cnt"})
+        centred = F.col("_cnt_before") + (F.col("_cnt") + 1) / 2.0 - F.lit((n + 1) / 2.0)
+        ranked = ranked.join(pre.select(v, centred.alias(f"r{v}")), v)
+    s = ranked.agg(F.sum(F.col("c") * F.col("rx") * F.col("ry")).alias("xy"), F.sum(F.col("c") * F.col("rx") * F.col("rx")).alias("xx"),
+                   F.sum(F.col("c") * F.col("ry") * F.col("ry")).alias("yy"))
+    return s.select(F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("spearman_correlation"),
+                    F.lit(n).cast("bigint").alias("n"))
 
 
 def quantile_edges(df: DataFrame, col: str, q: int = 4) -> list[float]:

@@ -14,8 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quench.functions.constants import DERIVED_FEATURES, FEATURES, LABEL, ROW_ID
-from quench.plans.sqltext import FEATURE_LIST, rounded, with_ctes
+from quench.plans.sqltext import rounded
 
 PLACES = 6
 
@@ -47,9 +46,5 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
     return deco
 
 
-def _sel(cols):
-    return ", ".join(cols)
-
-
 # modules that register queries
-from quench.plans import queries_clean, queries_features, queries_metrics, queries_models, queries_streaming  # noqa: E402,F401
+from quench.plans import queries_clean, queries_features, queries_io, queries_metrics, queries_models, queries_streaming  # noqa: E402,F401

@@ -1,6 +1,9 @@
-"""Queries: model scoring (M1-M11), k-NN imputation (C5). These have no SQL
-oracle (model fits are not SQL); ``tests/`` checks them by brute force and
-by properties."""
+"""Queries: model scoring (M1-M11), k-NN imputation.
+
+Fits on the measurements are not SQL; ``tests/`` checks them by brute force and
+by properties. The planted queries give every model a compared row: a noise-free
+rule with a margin (FIXTURES §3), which each model must reproduce on the held-out
+split, naive Bayes in full SQL, and extreme rows for the isolation forest."""
 
 from __future__ import annotations
 
@@ -15,7 +18,8 @@ from quench.operators.scale import fit_scaler
 from quench.operators.split import split_data, train_test
 from quench.plans.catalog import register
 from quench.plans.common import ENGINEERED, engineered
-from quench.sources.fixtures import measurements_clean
+from quench.plans.queries_features import split_cte
+from quench.sources.fixtures import measurements_clean, table
 
 
 def prepared(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -57,3 +61,71 @@ def q_m9(spark, sf_dir):
 @register("c5_impute_knn", note="rows-only: checked against brute force in tests")
 def q_c5(spark, sf_dir):
     return clean.handle_missing_values(measurements_clean(spark, sf_dir), "knn", n_neighbors=5, features=FEATURES)
+
+
+# ------------------------------------------------------------------ planted rule: compared rows for every model
+
+PLANTED = ["q", "t", "d"]
+
+
+def planted(spark, sf_dir) -> DataFrame:
+    """``lineitem`` rows whose quantity is not between 21 and 30; the label is quantity above 25.
+    Features: quantity, tax and discount, standardised to comparable ranges by constants."""
+    li = table(spark, sf_dir, "lineitem").where((F.col("l_quantity") <= 20) | (F.col("l_quantity") > 30))
+    key = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")],
+                            F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")))
+    return li.select(key.alias(ROW_ID), ((F.col("l_quantity") - 25) / 10).alias("q"), (F.col("l_tax") * 10).alias("t"),
+                     (F.col("l_discount") * 10).alias("d"), (F.col("l_quantity") > 25).cast("int").alias(LABEL))
+
+
+_PLANTED_CTE = (
+    "pl AS (SELECT md5(concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT))) AS row_id, "
+    "(l_quantity - 25) / 10 AS q, l_tax * 10 AS t, l_discount * 10 AS d, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS Potability "
+    "FROM lineitem WHERE l_quantity <= 20 OR l_quantity > 30),\n" + split_cte("pl", "psp", 42, 0.2))
+_RULE = f"WITH {_PLANTED_CTE}\nSELECT row_id, Potability AS prediction FROM psp WHERE split = 'test'"
+
+
+def _planted_split(spark, sf_dir):
+    return train_test(split_data(planted(spark, sf_dir), 0.2, 42, True).checkpoint(eager=True))
+
+
+def _planted_query(name: str):
+    def run(spark, sf_dir):
+        train, test = _planted_split(spark, sf_dir)
+        return make_model(name, train.count()).fit(train, PLANTED, LABEL).predict(test).select(ROW_ID, "prediction")
+    return run
+
+
+for _key, _name in [
+    ("m1_planted_rule", "Logistic Regression"), ("m2_planted_rule", "Decision Tree"), ("m3_planted_rule", "Random Forest"),
+    ("m4_planted_rule", "Gradient Boosting"), ("m5_planted_rule", "SVM"), ("m6_planted_rule", "K-Nearest Neighbors"),
+    ("m8_planted_rule", "XGBoost"),
+]:
+    register(_key, _RULE)(_planted_query(_name))
+
+_NB_STATS = ", ".join(f"avg({c}) AS {c}_m, var_pop({c}) AS {c}_v" for c in PLANTED)
+_NB_LL = " - ".join(["ln(p)"] + [f"0.5 * ln(2 * pi() * ({c}_v + eps)) - ({c} - {c}_m) * ({c} - {c}_m) / (2 * ({c}_v + eps))" for c in PLANTED])
+
+
+@register("m7_naive_bayes_planted", f"""WITH {_PLANTED_CTE},
+tr AS (SELECT * FROM psp WHERE split = 'train'),
+eps AS (SELECT 1e-9 * greatest({", ".join(f"var_pop({c})" for c in PLANTED)}) AS eps FROM tr),
+cl AS (SELECT Potability AS y, count(*) * 1.0 / (SELECT count(*) FROM tr) AS p, {_NB_STATS} FROM tr GROUP BY Potability),
+ll AS (SELECT row_id, y, {_NB_LL} AS l FROM psp CROSS JOIN cl CROSS JOIN eps WHERE split = 'test')
+SELECT a.row_id, CASE WHEN b.l > a.l THEN 1 ELSE 0 END AS prediction, 1 / (1 + exp(least(a.l - b.l, 700.0))) AS probability
+FROM ll a JOIN ll b ON a.row_id = b.row_id AND a.y = 0 AND b.y = 1""", ["probability"])
+def q_m7_planted(spark, sf_dir):
+    train, test = _planted_split(spark, sf_dir)
+    return make_model("Naive Bayes", train.count()).fit(train, PLANTED, LABEL).predict(test).select(ROW_ID, "prediction", "probability")
+
+
+@register("m9_m10_planted_extremes", f"""WITH {_PLANTED_CTE}
+SELECT row_id, CASE WHEN CAST(('0x' || substr(row_id, 1, 4)) AS BIGINT) % 50 = 0 THEN 0 ELSE 1 END AS prediction FROM pl""")
+def q_m9_planted(spark, sf_dir):
+    """One row in fifty (by key) lies far outside; the forest, told the share, must name those rows."""
+    far = F.conv(F.substring(ROW_ID, 1, 4), 16, 10).cast("bigint") % 50 == 0
+    df = planted(spark, sf_dir).select(ROW_ID, far.alias("far"), *[F.when(far, F.col(c) + 1000).otherwise(F.col(c)).alias(c) for c in PLANTED])
+    df = df.checkpoint(eager=True)
+    share = df.agg(F.avg(F.col("far").cast("double"))).first()[0]
+    model = fit_isolation_forest(df, PLANTED, n_trees=100, psi=256, contamination=share)
+    return model.predict(df).select(ROW_ID, "prediction")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,21 +76,17 @@ def save_table(df: DataFrame, table_name: str, mode: str = "append", jdbc_url: s
     """Replace (overwrite) or append; returns the number of rows written."""
     if mode == "replace":
         mode = "overwrite"
-    # persisted once: the count and the write share one computation
-    # (DataFrame.observe is avoided: on Spark 4.1 it leaves a non-serialisable
-    # observation manager that later ML task closures capture)
-    df = df.persist()
-    try:
+    if jdbc_url:
         n = df.count()
-        if jdbc_url:
-            props = dict(properties or {})
-            props.setdefault("batchsize", "1000")
-            df.write.mode(mode).jdbc(jdbc_url, table_name, properties=props)
-        else:
-            df.write.mode(mode).saveAsTable(table_name)
-    finally:
-        df.unpersist()
-    return int(n)
+        props = dict(properties or {})
+        props.setdefault("batchsize", "1000")
+        df.write.mode(mode).jdbc(jdbc_url, table_name, properties=props)
+        return int(n)
+    spark = df.sparkSession
+    # counted from the table's own files (their footers), before and after an append
+    before = spark.table(table_name).count() if mode == "append" and spark.catalog.tableExists(table_name) else 0
+    df.write.mode(mode).saveAsTable(table_name)
+    return int(spark.table(table_name).count() - before)
 
 
 def load_csv_to_table(spark: SparkSession, csv_path: str, table_name: str, mode: str = "replace",
@@ -141,7 +138,7 @@ def load_with_mode(spark: SparkSession, input_path: str, table_name: str, mode:
     if mode == "DB":
         try:
             return read_table(spark, table_name)
-        except Exception as e:  # noqa: BLE001
+        except AnalysisException as e:
             log.warning("table %s unavailable (%s); reading %s", table_name, e, input_path)
     return load_csv(spark, input_path, schema)
 
@@ -172,12 +169,14 @@ def initialize_database(spark: SparkSession, csv_path: str, database: str = "wat
     initialize_schema(spark, database)
     try:
         df = load_csv(spark, csv_path)
-    except Exception as e:  # noqa: BLE001
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         log.warning("raw CSV not loaded (%s)", e)
         return 0
     stamped = df.select(F.monotonically_increasing_id().alias("id"), *FEATURES, LABEL,
                         F.current_timestamp().alias("loaded_at"))
-    return save_table(stamped, f"{database}.raw_water_quality", "append")
+    return save_table(stamped, f"{database}.raw_water_quality", "replace")
 
 
 def save_model(model, path: str) -> None:
@@ -186,6 +185,7 @@ def save_model(model, path: str) -> None:
 
 
 def load_model(path: str):
-    from pyspark.ml import PipelineModel
+    """The saved classifier, ready to predict."""
+    from quench.operators.models import SparkClassifier
 
-    return PipelineModel.load(path)
+    return SparkClassifier.load(path)

@@ -1,11 +1,11 @@
 """Structured Streaming: ingest + clean + derive with fitted statistics (H1),
 windowed quality monitoring with watermarks (H2), streaming dedupe (H3).
 
-The stream source is a directory of parquet files (one folder per day, written
-by Spark into the shared scratch folder); tests and the registered queries use
+The stream source is the events table itself; tests and the registered queries use
 ``trigger(availableNow=True)`` so a run processes everything present and
 stops. Sinks are written by ``foreachBatch`` into parquet tables under the
-checkpointed scratch folder (exactly-once with the query checkpoint).
+checkpointed scratch folder: a batch overwrites its own partition, so one that is
+replayed after a failure leaves the rows of one run.
 """
 
 from __future__ import annotations
@@ -26,21 +26,10 @@ def event_measurements(df: DataFrame) -> DataFrame:
                      .alias("value"))
 
 
-def stage_events_by_day(spark: SparkSession, sf_dir: str, name: str = "events-stream") -> str:
-    """Write the events table as a day-partitioned file source, one day after
-    another, so file modification order follows event time (the file source
-    replays files in that order); returns its path."""
-    path = scratch_path(spark, name)
-    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    days = sorted(r[0] for r in ev.select("day").distinct().collect())  # one row per calendar day
-    for d in days:
-        ev.where(F.col("day") == F.lit(d)).coalesce(1).write.mode("append").partitionBy("day").parquet(path)
-    return path
-
-
-def read_event_stream(spark: SparkSession, path: str, max_files: int = 4) -> DataFrame:
-    return (spark.readStream.schema(EVENT_SCHEMA + ", day date").option("maxFilesPerTrigger", max_files)
-            .parquet(path).drop("day"))
+def read_event_stream(spark: SparkSession, sf_dir: str, max_files: int = 4) -> DataFrame:
+    """The events table as a file stream: its files in order of arrival, ``max_files`` a batch."""
+    return (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files)
+            .parquet(f"{sf_dir.rstrip('/')}/events[.]parquet"))  # a pattern: the source takes a file as well as a folder
 
 
 def clean_derive(df: DataFrame, median_value: float) -> DataFrame:
@@ -52,16 +41,18 @@ def clean_derive(df: DataFrame, median_value: float) -> DataFrame:
                     F.col("value").isNull().cast("int").alias("was_missing"))
 
 
+def write_batch(batch: DataFrame, batch_id: int, out: str) -> None:
+    """A micro-batch's own partition, overwritten when the batch is replayed."""
+    batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+
+
 def run_to_table(stream_df: DataFrame, spark: SparkSession, name: str, output_mode: str = "append") -> str:
-    """Run a streaming DataFrame to completion (availableNow) appending every
-    micro-batch with its batch id to a parquet table; returns the table path."""
+    """Run a streaming DataFrame to completion (availableNow); every micro-batch
+    overwrites its own partition ``_batch`` of a parquet table, whose path is returned."""
     out = scratch_path(spark, f"{name}-sink")
     ckpt = scratch_path(spark, f"{name}-ckpt")
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
-
-    q = (stream_df.writeStream.outputMode(output_mode).foreachBatch(sink)
+    q = (stream_df.writeStream.outputMode(output_mode).foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
@@ -78,8 +69,7 @@ def fitted_median(spark: SparkSession, sf_dir: str) -> float:
 def stream_clean_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1: stream the staged events through the fitted cleaning and derivation."""
     med = fitted_median(spark, sf_dir)
-    src = stage_events_by_day(spark, sf_dir)
-    out = run_to_table(clean_derive(read_event_stream(spark, src), med), spark, "h1")
+    out = run_to_table(clean_derive(read_event_stream(spark, sf_dir), med), spark, "h1")
     return spark.read.parquet(out).drop("_batch")
 
 
@@ -101,8 +91,7 @@ def stream_window_monitor(spark: SparkSession, sf_dir: str, window: str = "1 hou
                           watermark: str = "2 hours") -> DataFrame:
     """H2 on the stream in update mode; the final value of a window is its
     latest emitted update (``max_by`` on the batch id)."""
-    src = stage_events_by_day(spark, sf_dir)
-    out = run_to_table(window_monitor(read_event_stream(spark, src), window, slide, watermark), spark, "h2",
+    out = run_to_table(window_monitor(read_event_stream(spark, sf_dir), window, slide, watermark), spark, "h2",
                        output_mode="update")
     res = spark.read.parquet(out)
     cols = ["n_events", "n_missing", "sum_value", "n_value", "n_above_limit"]
@@ -113,21 +102,42 @@ def stream_window_monitor(spark: SparkSession, sf_dir: str, window: str = "1 hou
                          (F.col("n_missing") / F.col("n_events")).alias("missing_rate"), "n_above_limit")
 
 
-def sessions(df: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """H2 session windows per user (batch or stream with watermark)."""
-    m = event_measurements(df).withColumn("ts", F.col("ts").cast("timestamp"))
+def sessions(df: DataFrame, gap: str = "30 minutes", watermark: str = "2 hours") -> DataFrame:
+    """H2 session windows per user (batch, or stream with the watermark)."""
+    m = event_measurements(df).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
     s = m.groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(
         F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("value").isNull()).alias("n_missing"))
     return s.select("user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
                     F.col("s.end").cast("timestamp_ntz").alias("session_end"), "n_events", "n_missing")
 
 
+def stream_sessions(spark: SparkSession, sf_dir: str, gap: str = "30 minutes") -> DataFrame:
+    """H2 sessions on the stream in complete mode: the last batch holds every session."""
+    out = run_to_table(sessions(read_event_stream(spark, sf_dir), gap), spark, "h2s", output_mode="complete")
+    res = spark.read.parquet(out)
+    last = res.agg(F.max("_batch")).first()[0]
+    return res.where(F.col("_batch") == F.lit(last)).drop("_batch")
+
+
+def stream_outlier_rate(spark: SparkSession, sf_dir: str, window: str = "1 day", watermark: str = "2 hours") -> DataFrame:
+    """H2: per window, the share of values outside the IQR bounds fitted on the table."""
+    from quench.operators.clean import outlier_bounds
+
+    lo, hi = outlier_bounds(event_measurements(table(spark, sf_dir, "events")), ["value"])["value"]
+    m = event_measurements(read_event_stream(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp"))
+    v = F.col("value")
+    rate = (m.withWatermark("ts", watermark).groupBy(F.window("ts", window).alias("w")).agg(
+        F.count("value").alias("n_value"), F.count_if((v < F.lit(lo)) | (v > F.lit(hi))).alias("n_outliers"))
+        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_value", "n_outliers"))
+    res = spark.read.parquet(run_to_table(rate, spark, "h2o", output_mode="update"))
+    latest = res.groupBy("window_start").agg(*[F.max_by(F.col(c), F.col("_batch")).alias(c) for c in ("n_value", "n_outliers")])
+    return latest.withColumn("outlier_rate", F.try_divide(F.col("n_outliers").cast("double"), F.col("n_value").cast("double")))
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str, watermark: str = "2 hours") -> DataFrame:
     """H3: drop repeated events (same ``event_id``) within the watermark; the
-    staged stream contains every event twice (the table and a replay copy)."""
-    src = stage_events_by_day(spark, sf_dir)
-    replay = stage_events_by_day(spark, sf_dir, "events-replay")
-    s = read_event_stream(spark, src).unionByName(read_event_stream(spark, replay))
+    stream contains every event twice (the table and a replay of it)."""
+    s = read_event_stream(spark, sf_dir).unionByName(read_event_stream(spark, sf_dir))
     d = (event_measurements(s).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
          .dropDuplicatesWithinWatermark(["event_id"]))
     out = run_to_table(d, spark, "h3")

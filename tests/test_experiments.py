@@ -6,6 +6,8 @@ stays fast; the operators take the estimator factory as a parameter."""
 
 import tempfile
 
+import pytest
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
@@ -52,8 +54,12 @@ def test_bakeoff_cv_tuning_importance(spark):
     dt.save(path)
     from quench.sources.io import load_model
 
-    assert load_model(path).transform(
-        dt._prepare(test.withColumn("label", F.col(LABEL).cast("double")))).count() == test.count()
+    again = load_model(path).predict(test)
+    assert sorted((r["row_id"], r["prediction"]) for r in again.collect()) == sorted((r["row_id"], r["prediction"]) for r in dt.predict(test).collect())
+    svm = make_model("SVM", train.count()).fit(train, FEATS)
+    svm.save(path + "-svm")
+    assert load_model(path + "-svm").predict(test).agg({"probability": "sum"}).first()[0] == pytest.approx(
+        svm.predict(test).agg({"probability": "sum"}).first()[0])
 
 
 def test_run_all_experiments(spark):

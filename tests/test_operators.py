@@ -45,7 +45,7 @@ def test_prefix_sums_binned_equals_single_bin(spark):
 def test_split_is_disjoint_complete_and_partition_stable(spark):
     m = measurements_clean(spark, SF_SMALL)
     s1 = {r[ROW_ID]: r["split"] for r in split_data(m, 0.2, 42, True).collect()}
-    s2 = {r[ROW_ID]: r["split"] for r in split_data(m.repartition(13), 0.2, 42, True, rows_per_bin=300).collect()}
+    s2 = {r[ROW_ID]: r["split"] for r in split_data(m.repartition(13), 0.2, 42, True).collect()}
     assert s1 == s2
     n = m.count()
     n_test = sum(1 for v in s1.values() if v == "test")
@@ -170,3 +170,114 @@ def test_p_value_matches_known_values():
     # t = r sqrt(dof / (1 - r^2)); r = 0.5, n = 12 -> t = 1.8257, two-sided p = 0.0978 (dof 10)
     assert correlation_p_value(0.5, 12) == pytest.approx(0.09785, abs=2e-4)
     assert correlation_p_value(0.0, 50) == pytest.approx(1.0)
+
+
+def test_prefix_sums_keep_null_partitions_and_keys(spark):
+    rows = [(i, None if i % 4 == 0 else i % 3, None if i == 17 else i) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g long, k long").withColumn("one", F.lit(1))
+    got = {r["id"]: r["one_before"] for r in prefix_sums(df, "k", {"one": "one"}, ["g"], rows_per_bin=20).collect()}
+    want = {}
+    for g in {r[1] for r in rows}:
+        for n, (i, _, _) in enumerate(sorted((r for r in rows if r[1] == g), key=lambda r: (r[2] is not None, r[2] or 0))):
+            want[i] = n
+    assert got == want
+
+
+@pytest.mark.parametrize("few", [100_000, 10])
+def test_split_and_folds_with_null_labels(spark, monkeypatch, few):
+    from quench.operators import split as S
+
+    monkeypatch.setattr(S, "_FEW", few)
+    rows = [(f"k{i}", None if i % 4 == 0 else i % 2) for i in range(4000)]
+    df = spark.createDataFrame(rows, "row_id string, Potability int").repartition(7)
+    got = S.split_data(df, 0.2, 42, True).groupBy("Potability", "split").count().collect()
+    assert {(r["Potability"], r["split"]): r["count"] for r in got} == {
+        (None, "test"): 200, (None, "train"): 800, (0, "test"): 200, (0, "train"): 800, (1, "test"): 400, (1, "train"): 1600}
+    folds = S.assign_folds(df, 5, rows_per_bin=50).groupBy("Potability", "fold").count().collect()
+    assert len(folds) == 15 and {r["count"] for r in folds} == {200, 400}
+    import hashlib
+
+    by = sorted((int(hashlib.md5(f"42:{k}".encode()).hexdigest()[:13], 16), k) for k, l in rows if l == 0)
+    chosen = {r["row_id"] for r in S.split_data(df, 0.2, 42, True).where("Potability = 0 AND split = 'test'").collect()}
+    assert chosen == {k for _, k in by[:200]}
+
+
+def test_auc_of_huge_counts_and_null_scores(spark):
+    from quench.operators import metrics as M
+
+    counts = spark.createDataFrame([(0.1, 10**9, 9 * 10**9), (0.5, 5 * 10**9, 5 * 10**9), (0.9, 8 * 10**9, 2 * 10**9)],
+                                   "score double, _pos bigint, _neg bigint")
+    got = M._auc(counts, "score", 2_000_000).first()[0]
+    pos, neg = [1, 5, 8], [9, 5, 2]
+    want = sum(p * (sum(neg[:i]) + neg[i] / 2) for i, p in enumerate(pos)) / (sum(pos) * sum(neg))
+    assert got == pytest.approx(want, abs=1e-12)
+    rows = [(i % 2, None if i % 5 == 0 else (i * 37 % 101) / 101.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    assert M.roc_auc(df, rows_per_bin=10).first()[0] == pytest.approx(M.roc_auc(df.where("score IS NOT NULL")).first()[0], abs=1e-12)
+
+
+def test_evaluate_model_equals_its_parts(spark):
+    from quench.operators import metrics as M
+
+    rows = [(i % 2, (i * 7 % 11) % 2, (i * 37 % 101) / 101.0) for i in range(500)]
+    df = spark.createDataFrame(rows, "label int, prediction int, score double")
+    got = M.evaluate_model(df).first().asDict()
+    want = {**M.classification_metrics(df).first().asDict(), **M.roc_auc(df).first().asDict(), **M.confusion_counts(df).first().asDict()}
+    assert got == pytest.approx(want)
+
+
+def test_isolation_forest_scores_alike_at_every_size(spark):
+    from quench.operators.iforest import fit_isolation_forest
+
+    means = {}
+    for n in (60, 2000, 50_000):
+        rng = np.random.default_rng(n)
+        pdf = __import__("pandas").DataFrame(rng.normal(size=(n, 3)), columns=["a", "b", "c"])
+        pdf["row_id"] = [f"r{i}" for i in range(n)]
+        df = spark.createDataFrame(pdf)
+        model = fit_isolation_forest(df, ["a", "b", "c"], n_trees=50, psi=256, contamination=0.1)
+        assert model.psi == min(256, n)
+        means[n] = model.score(df).agg(F.avg("anomaly_score")).first()[0]
+    assert max(means.values()) - min(means.values()) < 0.05
+
+
+def test_duplicates_keep_the_least_row_id(spark):
+    from quench.operators.clean import remove_duplicates
+
+    rows = [(f"r{i:03d}", float(i % 7), None if i % 3 else 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id string, a double, b double")
+    kept = [sorted(map(tuple, remove_duplicates(df.repartition(n)).collect())) for n in (1, 3, 8, 13)]
+    first = {}
+    for r in rows:
+        first.setdefault(r[1:], r)
+    assert kept[0] == kept[1] == kept[2] == kept[3] == sorted(first.values())
+    assert remove_duplicates(df).columns == df.columns
+
+
+def test_block_knn_votes_match_brute_force(spark):
+    from quench.operators.knn import KNNClassifier
+
+    rng = np.random.default_rng(5)
+    x, q = rng.integers(0, 4, (300, 3)).astype(float), rng.integers(0, 4, (80, 3)).astype(float)  # many ties
+    y = rng.integers(0, 2, 300)
+    train = spark.createDataFrame([(f"t{i:03d}", *map(float, r), int(c)) for i, (r, c) in enumerate(zip(x, y))],
+                                  "row_id string, a double, b double, c double, Potability int").repartition(5)
+    test = spark.createDataFrame([(f"q{i}", *map(float, r)) for i, r in enumerate(q)], "row_id string, a double, b double, c double")
+    got = {r["row_id"]: r["probability"] for r in KNNClassifier(block=17).fit(train, ["a", "b", "c"]).predict(test).collect()}
+    for i, r in enumerate(q):
+        d = ((x - r) ** 2).sum(axis=1)
+        assert got[f"q{i}"] == pytest.approx(y[np.lexsort((np.arange(300), d))[:5]].mean())
+
+
+def test_spearman_with_ties(spark):
+    from quench.operators.stats import spearman
+
+    rng = np.random.default_rng(9)
+    x, y = rng.integers(0, 20, 500), rng.integers(0, 2, 500)
+
+    def ranks(v):
+        return np.array([(v < a).sum() + ((v == a).sum() + 1) / 2 for a in v])
+
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(x, y)] + [(None, 1)], "x int, y int")
+    got = spearman(df, "x", "y").first()
+    assert got["n"] == 500 and got["spearman_correlation"] == pytest.approx(np.corrcoef(ranks(x), ranks(y))[0, 1], abs=1e-12)

@@ -1,7 +1,8 @@
-"""Streaming: late rows are dropped by the watermark (FIXTURES §5)."""
+"""Streaming: late rows are dropped by the watermark (FIXTURES §5); a replayed batch leaves one copy."""
 
 from pyspark.sql import functions as F
 
+from quench.session import scratch_path
 from quench.sources.fixtures import table
 from quench.streaming import monitor
 
@@ -9,11 +10,12 @@ from conftest import SF_SMALL
 
 
 def test_late_day_is_dropped_by_watermark(spark):
-    src = monitor.stage_events_by_day(spark, SF_SMALL)
+    src = scratch_path(spark, "events-by-day")
     ev = table(spark, SF_SMALL, "events").withColumn("day", F.to_date("ts"))
-    first_day = ev.agg(F.min("day")).first()[0]
-    # replay the first day once more, after every other file: its rows are late
-    ev.where(F.col("day") == F.lit(first_day)).coalesce(1).write.mode("append").partitionBy("day").parquet(src)
+    days = sorted(r[0] for r in ev.select("day").distinct().collect())
+    # one file a day, in order of arrival; the first day once more after all others: its rows are late
+    for d in [*days, days[0]]:
+        ev.where(F.col("day") == F.lit(d)).drop("day").coalesce(1).write.mode("append").parquet(f"{src}/events.parquet")
     out = monitor.run_to_table(monitor.window_monitor(monitor.read_event_stream(spark, src), "1 hour", None,
                                                       "2 hours"), spark, "late", output_mode="update")
     res = spark.read.parquet(out)
@@ -24,3 +26,12 @@ def test_late_day_is_dropped_by_watermark(spark):
     # every window counts each event once: the replayed (late) copy never reached the state
     assert joined.where(F.col("n").isNull() | F.col("n_batch").isNull() | (F.col("n") != F.col("n_batch"))).count() == 0
     assert final.count() == batch.count()
+
+
+def test_replayed_batch_overwrites_itself(spark):
+    out = scratch_path(spark, "replayed")
+    batch = spark.range(10).withColumn("v", F.lit(1))
+    for _ in range(2):
+        monitor.write_batch(batch, 3, out)
+    monitor.write_batch(batch, 4, out)
+    assert {r["_batch"]: r["count"] for r in spark.read.parquet(out).groupBy("_batch").count().collect()} == {3: 10, 4: 10}
