@@ -63,8 +63,9 @@ def fill_with(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
 
 
 def handle_missing_values(df: DataFrame, strategy: str = "median", n_neighbors: int = 5,
-                          features: list[str] | None = None, label: str = LABEL) -> DataFrame:
-    """C2-C7. Input returned unchanged when no feature has a NULL (even for
+                          features: list[str] | None = None, label: str = LABEL, fit_on: DataFrame | None = None) -> DataFrame:
+    """C2-C7. ``fit_on``: the rows whose medians or means are used (a training part, so that nothing of
+    the held-out part leaks); by default the input itself. Input returned unchanged when no feature has a NULL (even for
     ``drop``, as in the reference); an unknown strategy raises."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown missing-value strategy {strategy!r}; expected one of {STRATEGIES}")
@@ -73,9 +74,9 @@ def handle_missing_values(df: DataFrame, strategy: str = "median", n_neighbors:
     if not missing:
         return df
     if strategy == "median":
-        return fill_with(df, column_medians(df, missing))
+        return fill_with(df, column_medians(df if fit_on is None else fit_on, missing))
     if strategy == "mean":
-        return fill_with(df, column_means(df, missing))
+        return fill_with(df, column_means(df if fit_on is None else fit_on, missing))
     if strategy == "drop":
         return df.na.drop("any", subset=features + [label])
     from quench.operators.knn import knn_impute

@@ -67,3 +67,26 @@ def add_gaussian_noise(df: DataFrame, features: list[str], level: float, stds: d
 def sample_stds(df: DataFrame, features: list[str]) -> dict[str, float]:
     row = df.agg(*[F.stddev_samp(F.col(c)).alias(c) for c in features]).first()
     return {c: row[c] for c in features}
+
+
+def feature_pipeline(df: DataFrame, features: list[str], create_derived: bool = True, create_interactions: bool = False,
+                     scale: bool = True, scaler_type: str = "standard", fit_on: DataFrame | None = None) -> tuple[DataFrame, dict]:
+    """derive -> interact -> scale, with the step list and the feature lists. The scaler is fitted on
+    ``fit_on`` taken through the same steps (by default on the input itself)."""
+    from quench.operators.scale import fit_scaler
+
+    meta: dict = {"initial_features": list(df.columns), "steps": []}
+    names = list(features)
+    for wanted, step, add in ((create_derived, "derived", create_derived_features), (create_interactions, "interactions", create_interaction_features)):
+        if wanted:
+            before = set(df.columns)
+            df = add(df)
+            names += [c for c in df.columns if c not in before]
+            fit_on = None if fit_on is None else add(fit_on)
+            meta["steps"].append(step)
+    if scale:
+        meta["scaler"] = fit_scaler(df if fit_on is None else fit_on, names, scaler_type)
+        df = meta["scaler"].transform(df)
+        meta["steps"].append("scaling")
+    meta["final_features"] = list(df.columns)
+    return df, meta

@@ -47,7 +47,7 @@ def label_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, cols: list[str], quantile_accuracy: int = 100_000) -> DataFrame:
+def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """P5: count, mean, sample std, min, 25/50/75 % (exact, linear), max per column."""
     stats = []
     for c in cols:
@@ -56,7 +56,7 @@ def describe(df: DataFrame, cols: list[str], quantile_accuracy: int = 100_000) -
                   F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     row = df.agg(*stats).first()
     counts = {c: int(row[f"{c}__count"]) for c in cols}
-    q = exact_quantiles_with_counts(df, cols, [0.25, 0.5, 0.75], counts, quantile_accuracy)
+    q = exact_quantiles_with_counts(df, cols, [0.25, 0.5, 0.75], counts)
     spark = df.sparkSession
     data = [
         (c, counts[c], row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from quench.functions.constants import DERIVED_FEATURES, FEATURES, LABEL, ROW_ID
 from quench.operators import features as feat
-from quench.operators.scale import fit_scaler
+from quench.operators.scale import fit_scaler, scale_features
 from quench.operators.split import split_data, split_data_with_validation, train_test
 from quench.plans.catalog import register
 from quench.plans.common import ENGINEERED, engineered, imputed
 from quench.plans.sqltext import bits_sql, gauss_sql, with_ctes
 from quench.plans.sqltext_features import derived_sql, imputed_cte, interaction_sql
+from quench.session import scratch_path
+from quench.sources.fixtures import measurements_clean
 
 IMP = imputed_cte()
 ENG_CTE = IMP + ",\neng AS (SELECT *, " + ", ".join(derived_sql()) + " FROM imputed)"
@@ -83,8 +85,9 @@ SPLIT_CTE = IMP + ",\n" + split_cte("imputed", "sp", 42, 0.2)
 def q_f7(spark, sf_dir):
     sp = split_data(imputed(spark, sf_dir), 0.2, 42, True)
     train, test = train_test(sp)
-    model = fit_scaler(train, FEATURES, "standard")
-    return model.transform(test)
+    path = scratch_path(spark, "scaler")
+    scale_features(train, "standard", True, path, FEATURES)
+    return scale_features(test, "standard", False, path, FEATURES)[0]
 
 
 @register("f8_stratified_split", with_ctes("SELECT row_id, Potability, split FROM sp", extra=SPLIT_CTE))
@@ -158,3 +161,54 @@ def q_c9e(spark, sf_dir):
     from quench.operators import clean
 
     return clean.detect_outliers(engineered(spark, sf_dir), ENGINEERED, "zscore", 3.0)
+
+
+# ------------------------------------------------------------------ composites: interactions, leakage-free fits, non-vacuous outlier counts
+
+_ALL11 = ENGINEERED + INTERACTIONS
+_cte11i, _body11i = _scaled_sql("engi", _ALL11, "standard")
+
+
+@register("f11_feature_pipeline_interactions", with_ctes(
+    f"SELECT row_id, {_body11i}, Potability, 'derived,interactions,scaling' AS steps, 30 AS n_features FROM engi CROSS JOIN st",
+    extra=ENG_CTE + ",\nengi AS (SELECT *, " + ", ".join(interaction_sql()) + " FROM eng),\n" + _cte11i), _ALL11)
+def q_f11i(spark, sf_dir):
+    out, meta = feat.feature_pipeline(imputed(spark, sf_dir), FEATURES, create_interactions=True)
+    return out.withColumn("steps", F.lit(",".join(meta["steps"]))).withColumn("n_features", F.lit(len(meta["final_features"]) - 2))
+
+
+_TRAIN_CTE = split_cte("measurements", "spm", 42, 0.2)
+
+
+@register("c3_impute_median_fit_on_train", with_ctes(
+    "SELECT row_id, " + ", ".join(f"coalesce({c}, {c}_m) AS {c}" for c in FEATURES) + ", Potability, split FROM spm CROSS JOIN med",
+    extra=_TRAIN_CTE + ",\nmed AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}_m" for c in FEATURES)
+    + " FROM spm WHERE split = 'train')"), FEATURES)
+def q_c3_train(spark, sf_dir):
+    from quench.operators import clean
+
+    sp = split_data(measurements_clean(spark, sf_dir), 0.2, 42, True)
+    return clean.handle_missing_values(sp, "median", features=FEATURES, fit_on=sp.where(F.col("split") == "train"))
+
+
+@register("c10_outlier_counts_engineered", with_ctes(
+    "SELECT f.feature, CAST(coalesce(o.n, 0) AS BIGINT) AS n_outliers FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature" for c in ENGINEERED)
+    + ") AS f LEFT JOIN (SELECT feature, count(*) AS n FROM o GROUP BY feature) AS o ON f.feature = o.feature"
+    " UNION ALL SELECT 'TOTAL' AS feature, CAST(count(*) AS BIGINT) AS n_outliers FROM o",
+    extra=_EIQR_CTE + ",\no AS (" + _EIQR_SQL + ")"))
+def q_c10e(spark, sf_dir):
+    from quench.operators import clean
+
+    return clean.outlier_counts(clean.detect_outliers(engineered(spark, sf_dir), ENGINEERED, "iqr", 1.5), ENGINEERED)
+
+
+@register("c11_clean_dataset_engineered", with_ctes(
+    "SELECT (SELECT count(*) FROM eng) AS initial_rows, (SELECT count(*) FROM eng) AS final_rows, (SELECT count(*) FROM o) AS outliers_total",
+    extra=_EIQR_CTE + ",\no AS (" + _EIQR_SQL + ")"))
+def q_c11e(spark, sf_dir):
+    from quench.operators import clean
+
+    md = clean.clean_dataset(engineered(spark, sf_dir), "median", features=ENGINEERED).metadata
+    return spark.createDataFrame([(md["initial_rows"], md["final_rows"], md["outliers_total"])],
+                                 "initial_rows bigint, final_rows bigint, outliers_total bigint")
