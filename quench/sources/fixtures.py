@@ -37,7 +37,12 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _MATERIALISED.get(key)
     if path is None:
         path = scratch_path(spark, "measurements")
-        measurements_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
+        plan = measurements_plan(spark, sf_dir)
+        cores = spark.sparkContext.defaultParallelism
+        if table(spark, sf_dir, "lineitem").rdd.getNumPartitions() < cores:
+            # fewer scan tasks than cores: a file a core, or every later scan would run in those few tasks
+            plan = plan.repartition(cores)
+        plan.write.mode("overwrite").parquet(path)
         _MATERIALISED[key] = path
     return spark.read.parquet(path)
 
