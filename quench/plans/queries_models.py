@@ -19,6 +19,7 @@ from quench.operators.split import split_data, train_test
 from quench.plans.catalog import register
 from quench.plans.common import ENGINEERED, engineered
 from quench.plans.queries_features import split_cte
+from quench.plans.sqltext import bits_sql
 from quench.sources.fixtures import measurements_clean, table
 
 
@@ -129,3 +130,45 @@ def q_m9_planted(spark, sf_dir):
     share = df.agg(F.avg(F.col("far").cast("double"))).first()[0]
     model = fit_isolation_forest(df, PLANTED, n_trees=100, psi=256, contamination=share)
     return model.predict(df).select(ROW_ID, "prediction")
+
+
+# ------------------------------------------------------------------ M12, M13, M16 on the planted rule
+
+_BAKE_OFF = ["Decision Tree", "K-Nearest Neighbors", "Logistic Regression", "Naive Bayes"]
+_NAMES = ", ".join(f"('{n}')" for n in _BAKE_OFF)
+
+
+@register("m12_bake_off_planted", f"""WITH {_PLANTED_CTE},
+p AS (SELECT Potability AS y, CASE WHEN q > 0 THEN 1 ELSE 0 END AS p, split FROM psp)
+SELECT m.model, tr.a AS train_accuracy, te.a AS test_accuracy, te.pr AS precision, te.re AS recall, 2 * te.pr * te.re / (te.pr + te.re) AS f1_score, 1.0 AS roc_auc
+FROM (VALUES {_NAMES}) AS m(model)
+CROSS JOIN (SELECT avg(CAST(p = y AS DOUBLE)) AS a FROM p WHERE split = 'train') AS tr
+CROSS JOIN (SELECT avg(CAST(p = y AS DOUBLE)) AS a, sum(p * y) / sum(p) AS pr, sum(p * y) / sum(y) AS re FROM p WHERE split = 'test') AS te""",
+          ["train_accuracy", "test_accuracy", "precision", "recall", "f1_score", "roc_auc"])
+def q_m12_planted(spark, sf_dir):
+    from quench.operators.models import train_baseline_models
+
+    train, test = _planted_split(spark, sf_dir)
+    return train_baseline_models(train, test, PLANTED, LABEL, _BAKE_OFF)
+
+
+@register("m13_cross_validation_planted", f"""WITH {_PLANTED_CTE},
+f AS (SELECT Potability AS y, CASE WHEN q > 0 THEN 1 ELSE 0 END AS p, (row_number() OVER (PARTITION BY Potability ORDER BY {bits_sql("'42:' || row_id")}, row_id) - 1) % 5 AS fold
+      FROM psp WHERE split = 'train'),
+a AS (SELECT fold, avg(CAST(p = y AS DOUBLE)) AS acc FROM f GROUP BY fold)
+SELECT 'Decision Tree' AS model, avg(acc) AS mean_cv_accuracy, stddev_pop(acc) AS std_cv_accuracy, min(acc) AS min_cv_accuracy, max(acc) AS max_cv_accuracy FROM a""",
+          ["mean_cv_accuracy", "std_cv_accuracy", "min_cv_accuracy", "max_cv_accuracy"])
+def q_m13_planted(spark, sf_dir):
+    from quench.operators.models import perform_cross_validation
+
+    return perform_cross_validation(_planted_split(spark, sf_dir)[0], PLANTED, ["Decision Tree"], 5, LABEL)
+
+
+@register("m16_feature_importance_planted", f"""WITH {_PLANTED_CTE}
+SELECT 'q' AS feature, CAST(count(*) > 0 AS INTEGER) * 1.0 AS importance FROM psp UNION ALL
+SELECT 't' AS feature, 0.0 AS importance UNION ALL SELECT 'd' AS feature, 0.0 AS importance""", ["importance"])
+def q_m16_planted(spark, sf_dir):
+    from quench.operators.models import feature_importance_df
+
+    train, _ = _planted_split(spark, sf_dir)
+    return feature_importance_df(make_model("Decision Tree", train.count()).fit(train, PLANTED, LABEL), spark)
