@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quench.llm.common import col, text_of
+from quench.llm.common import col, least_hashed, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
@@ -221,10 +221,9 @@ def fit(texts: list[str], epochs: int = 12, rate: float = 0.5, ridge: float = 1e
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray | None:
-    rows = (docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
-            .filter((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike("@|[0-9][0-9 ().-]{2,}[0-9]"))
-            .orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect())
-    return fit([r["text"] for r in rows])
+    eligible = (docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
+                .filter((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike("@|[0-9][0-9 ().-]{2,}[0-9]")))
+    return fit([r["text"] for r in least_hashed(eligible, "id", SAMPLE).collect()])
 
 
 def spans_of(text: str, weights: np.ndarray | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
