@@ -37,6 +37,8 @@ PARTS = 4
 #: Fingerprints in a tile (on average; tiles are cut by hash).
 TILE = 2048
 _BLOCK = 1 << 15
+#: Fingerprints of components of several rows that may be broadcast: about 40 bytes each.
+BROADCAST_ROWS = 500_000
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -177,16 +179,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = fingerprints(docs, id_col, text_col, shingle, seed, carry)
     rows = materialise(rows.withColumn("rid", F.monotonically_increasing_id()), "simhash-rows")
     best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid"))
-    nodes = materialise(rows.groupBy("fp").agg(best.alias("best")), "simhash-nodes")
+    nodes = materialise(rows.groupBy("fp").agg(best.alias("best"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
     roots = components(links(nodes.select("fp"), radius))
     owner = (nodes.join(roots, nodes["fp"] == roots["node"], "left")
-             .select("fp", F.coalesce("root", "fp").alias("root"), "best"))
+             .select("fp", F.coalesce("root", "fp").alias("root"), "best", "n"))
     owner = materialise(owner, "simhash-owner")
-    lead = owner.groupBy("root").agg(F.min("best").alias("lead"))
-    owner = owner.join(lead, "root").select("fp", "lead")
-    return (rows.join(owner, "fp")
-            .select("id", "fp", F.col("lead.id").alias("component_id"), (F.col("rid") == F.col("lead.rid")).alias("first"),
-                    *(["row"] if carry else [])))
+    lead = owner.groupBy("root").agg(F.min("best").alias("lead"), F.sum("n").alias("rows")).filter("rows > 1")
+    # Only fingerprints of components of several rows: all other rows lead themselves.
+    shared = materialise(owner.join(lead, "root").select("fp", "lead"), "simhash-shared")
+    if shared.count() <= BROADCAST_ROWS:
+        shared = F.broadcast(shared)
+    return (rows.join(shared, "fp", "left")
+            .select("id", "fp", F.when(F.col("lead").isNull(), F.col("id")).otherwise(F.col("lead.id")).alias("component_id"),
+                    F.coalesce(F.col("rid") == F.col("lead.rid"), F.lit(True)).alias("first"), *(["row"] if carry else [])))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
