@@ -194,7 +194,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     names = marks.filter("item_id IS NOT NULL").select("fp", "len", "text", "item_id")
     items = (found.join(side(names), ["fp", "len", "text"]).select("rid", "item_id").distinct()
              .groupBy("rid").agg(F.array_sort(F.collect_list("item_id")).alias("items")))
-    return (rows.drop("cand").join(hit, "rid", "left").join(items, "rid", "left")
+    found_by_row = materialise(hit.join(items, "rid", "left"), "bench-found")
+    size = found_by_row.agg(F.sum(32 + 8 * F.size(F.coalesce("items", F.array().cast("array<string>"))) +
+                                  F.octet_length(F.concat_ws("", "items")))).first()[0] or 0
+    side = F.broadcast if size <= BROADCAST_BYTES else (lambda df: df)
+    return (rows.drop("cand").join(side(found_by_row), "rid", "left")
             .select("id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"), *(["row"] if carry else [])))
 
