@@ -18,6 +18,7 @@ import numpy as np
 _LETTERS = r"A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: Texts of these characters have one-to-one lower case and no composing marks.
 _SAFE = re.compile(rf"[\x00-\x7f{_LETTERS}]*")
+_RARE_SPACE = re.compile(r"[^\S \n]")
 _SPACE_RUN = re.compile(r"\s[ \n]|[ \n]\s|\A ")
 _WS = r" \t\n\r\f\v"
 _CONTRACTION = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -26,12 +27,16 @@ _PIECES = {
     "word": re.compile(rf"{_CONTRACTION}|[{_LETTERS}]+|[0-9]|[^{_WS}{_LETTERS}0-9]+"),
 }
 
+#: Byte-level vocabularies write a byte that is no printable Latin-1 character as the next one from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 
 class Encoder:
     """``encode(texts)`` gives each text's ids as ``<u4`` bytes. ``kind``: "byte" keeps white space
     (byte_bpe files), "word" drops it and ignores case (word_bpe files)."""
 
-    def __init__(self, path: str, kind: str, units: int = 800_000, pieces: int = 1_500_000):
+    def __init__(self, path: str, kind: str, units: int = 450_000, pieces: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -40,10 +45,20 @@ class Encoder:
         self.kind, self.most_units, self.most_pieces = kind, units, pieces
         self.units: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # a text's first unit, which no space precedes
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pre-token pieces: the library's BPE model takes byte-level pieces as they are."""
+        if self.kind == "word":
+            return self._library(pieces)
+        model = self.tokenizer.model
+        return [np.array([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(_BYTE_CHARS))], "<u4").tobytes()
+                if _SAFE.fullmatch(p) else self._library([p])[0] for p in pieces]
+
     def _cut(self, unit: str) -> list[str]:
         if not _SAFE.fullmatch(unit):
             return [unit]
@@ -51,27 +66,41 @@ class Encoder:
 
     def _learn(self, parts: set[str]) -> None:
         cut = {p: self._cut(p if self.kind == "word" or p[:1] == "\n" else " " + p) for p in parts}
-        new = list({p for ps in cut.values() for p in ps}.difference(self.pieces))
+        known, young = self.pieces, self.young
+        new = [p for p in {p for ps in cut.values() for p in ps}.difference(known) if p not in young]
+        # The first pieces met are the frequent ones and stay; later ones take turns in a smaller cache.
+        if len(known) >= self.most_pieces and len(young) > self.most_pieces // 4:
+            new = list({p for ps in cut.values() for p in ps}.difference(known))
+            young.clear()
+        target = known if len(known) < self.most_pieces else young
         for at in range(0, len(new), 4096):
-            self.pieces.update(zip(new[at:at + 4096], self._library(new[at:at + 4096])))
+            target.update(zip(new[at:at + 4096], self._encode_pieces(new[at:at + 4096])))
         for u, ps in cut.items():
-            self.units[u] = b"".join(map(self.pieces.__getitem__, ps))
+            self.units[u] = b"".join([known[p] if p in known else young[p] for p in ps])
+
+    def _runs(self, text: str) -> bool:
+        """Whether a space or line break touches other white space (or starts the text)."""
+        if _RARE_SPACE.search(text):
+            return _SPACE_RUN.search(text) is not None
+        return "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] == " "
 
     def encode(self, text: str) -> bytes:
         if self.kind == "word":
             parts, head = text.replace("\n", " ").split(" "), b""
-        elif _SPACE_RUN.search(text):
+        elif self._runs(text):
             return self._library([text])[0]
         else:
             first, *parts = text.replace("\n", " \n").split(" ")
-            head = b"".join(self._library(self._cut(first)))
+            head = self.heads.get(first)
+            if head is None:
+                if len(self.heads) > self.most_units // 4:
+                    self.heads.clear()
+                head = self.heads[first] = b"".join(self._library(self._cut(first)))
         new = set(parts).difference(self.units)
         if new:
             if len(self.units) > self.most_units:
                 self.units.clear()
                 new = set(parts)
-            if len(self.pieces) > self.most_pieces:
-                self.pieces.clear()
             self._learn(new)
         return head + b"".join(map(self.units.__getitem__, parts))
 
