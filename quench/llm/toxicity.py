@@ -1,10 +1,12 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries share one base trained on ordinary text. The toxic one also
-ends in a part trained on toxic text: the spans of toxic training documents whose byte
-5-grams are far more frequent there than in ordinary documents. Every window (a word,
-long words in overlapping cuts) is compressed with both, and the difference of the two
-lengths is its distance. A fixed preamble, which both dictionaries hold, stands on both
+ends in a part trained on toxic text: the words of toxic training documents that hold a byte
+5-gram (word borders included) found in a far greater share of a toxic document's distinct
+words than of an ordinary one's. The share counts words, not documents, so a root that ordinary
+text also has now and then, or that only one language has, still shows; a repeated line counts once a
+document. Every window (a word, long words in overlapping cuts) is compressed with both, and
+the difference of the two lengths is its distance. A fixed preamble, which both dictionaries hold, stands on both
 sides of a window: zstandard stores very short inputs raw and does not search an input's
 last bytes, and with the preamble the lengths differ by the window alone.
 
@@ -42,6 +44,8 @@ SAMPLE_CHARS = 20_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 GRAM = 5
+#: A gram is hot if its share of the words of toxic documents is this many times that of ordinary ones.
+HOT = 8
 ORDINARY_BYTES, TOXIC_BYTES = 32768, 4096
 _PAD = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ#%&=+<>[]{}~^_|`@!0123456789"
 _WINDOW, _STEP = 48, 36
@@ -93,27 +97,22 @@ def _content(samples: list[bytes], size: int, segment: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _grams(text: str) -> set[bytes]:
-    out = set()
-    for w in set(text.encode().lower().split()):
-        w = b" " + w + b" "
-        out.update(w[i:i + GRAM] for i in range(len(w) - GRAM + 1))
-    return out
+def _grams(word: bytes) -> set[bytes]:
+    """The grams of a word with its borders."""
+    w = b" " + word + b" "
+    return {w[i:i + GRAM] for i in range(len(w) - GRAM + 1)}
 
 
-def _spans(word: bytes, hot: set[bytes]) -> list[bytes]:
-    """The parts of a word (with its borders) that hot grams cover."""
-    w, out, i = b" " + word + b" ", [], 0
-    while i <= len(w) - GRAM:
-        if w[i:i + GRAM] in hot:
-            j = i + 1
-            while w[j:j + GRAM] in hot and j <= len(w) - GRAM:
-                j += 1
-            out.append(w[i:j + GRAM - 1])
-            i = j + GRAM - 1
-        else:
-            i += 1
-    return out
+def _count(texts: list[str]) -> tuple[Counter, Counter, int]:
+    """For each gram the words (distinct in their document) and the documents that hold it, and the number of words."""
+    in_words, in_docs, n = Counter(), Counter(), 0
+    for t in texts:
+        words = set(t.encode().lower().split())
+        found = Counter(g for w in words for g in _grams(w))
+        in_words.update(found)
+        in_docs.update(found.keys())
+        n += len(words)
+    return in_words, in_docs, n
 
 
 @dataclass
@@ -143,21 +142,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
 
 
 def _dictionaries(positive: list[str], negative: list[str], seed: int) -> tuple[bytes, bytes]:
-    """The ordinary base and the toxic part, trained on ordinary text and on toxic spans."""
-    in_tox, in_plain = Counter(), Counter()
-    for t in positive:
-        in_tox.update(_grams(t))
-    for t in negative:
-        in_plain.update(_grams(t))
+    """The ordinary base and the toxic part, trained on ordinary text and on the toxic texts' words with hot grams."""
+    (in_tox, in_docs, n_tox), (in_plain, _, n_plain) = _count(positive), _count(negative)
     least = max(3, 0.005 * len(positive))
-    hot = {g for g, c in in_tox.items() if c >= least and c * len(negative) >= 8 * (in_plain[g] + 1) * len(positive)}
-    spans = [s for t in positive for w in t.encode().lower().split() for s in _spans(w, hot)]
+    hot = {g for g, c in in_tox.items() if in_docs[g] >= least and c * n_plain >= HOT * (in_plain[g] + 1) * n_tox}
+    words = [b" " + w + b" " for t in positive for w in windows(t) if not hot.isdisjoint(_grams(w))]
     runs = [b" ".join(ws[i:i + 12]) for t in negative for ws in [t.encode().lower().split()] for i in range(0, len(ws), 12)]
     rng = random.Random(seed)
-    rng.shuffle(spans)
+    rng.shuffle(words)
     rng.shuffle(runs)
     return (_content(runs[:100_000], ORDINARY_BYTES, 64),
-            _content([b"".join(spans[i:i + 4]) for i in range(0, min(len(spans), 200_000), 4)], TOXIC_BYTES, 24))
+            _content([b"".join(words[i:i + 4]) for i in range(0, min(len(words), 200_000), 4)], TOXIC_BYTES, 24))
 
 
 def fit(texts: list[str], toxic: list[int], seed: int = 7, parts: int = 3) -> Model | None:

@@ -4,6 +4,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from quench.llm import decontaminate, exact_dedup, html_extract, lm_score, packing, pii, secrets, simhash_dedup, token_files, toxicity
@@ -157,6 +158,22 @@ def test_toxicity_given_held_out(spark):
     assert sum(predicted) >= 0.95 * len(predicted) and sum(predicted) >= 0.4 * sum(r["toxic"] for r in rows)
 
 
+def test_toxicity_every_language():
+    """Signals that one language holds, and that ordinary text also has now and then, are learnt."""
+    docs, labels = (pq.read_table(f"/root/testdata/sf0.1/{t}.parquet").to_pylist() for t in ("documents", "labels"))
+    toxic = {r["doc_id"]: r["toxic"] for r in labels if r["toxic"] is not None}
+    rows = [(r["text"] or "", toxic[r["doc_id"]], r["lang"], brute.held_out(r["doc_id"], 3, 1)) for r in docs if r["doc_id"] in toxic]
+    train = [r for r in rows if not r[3] and len(r[0]) <= toxicity.SAMPLE_CHARS]
+    model = toxicity.fit([r[0] for r in train], [r[1] for r in train])
+    distance = toxicity.Distance(model.ordinary, model.toxic)
+    held = [r for r in rows if r[3]]
+    found = model.probability(np.array([distance.features(r[0]) for r in held])) >= toxicity.THRESHOLD
+    assert np.mean([r[1] for r, hit in zip(held, found) if hit]) >= 0.95
+    for lang in ("en", "de", "fr", "es"):
+        recall = np.mean([hit for r, hit in zip(held, found) if r[2] == lang and r[1]])
+        assert recall >= 0.6, (lang, recall)
+
+
 def ordered(rows):
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0))
 
