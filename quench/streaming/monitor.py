@@ -27,11 +27,31 @@ def event_measurements(df: DataFrame) -> DataFrame:
 
 
 def read_event_stream(spark: SparkSession, sf_dir: str, max_files: int = 4) -> DataFrame:
-    """The events table as a file stream: its files in order of arrival, ``max_files`` a batch."""
+    """The events table as a file stream: its files in order of arrival, ``max_files`` a batch. Files need not
+    follow the event time: see ``lateness``."""
     return (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files)
             .parquet(f"{sf_dir.rstrip('/')}/events[.]parquet"))  # a pattern: the source takes a file as well as a folder
 
 
+def lateness(spark: SparkSession, sf_dir: str, least: str) -> str:
+    """A watermark delay under which no row of the table counts as late: ``least``, or the farthest that a
+    file's oldest row lies behind the newest row of files that may be read before it, if that is more.
+
+    The source reads files by modification time and leaves open the order of those of equal time. Where the
+    files follow the event time the delay, and with it the state, stays at ``least``."""
+    ev = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("_metadata.file_path").alias("path"),
+                                               F.unix_millis("_metadata.file_modification_time").alias("at"))
+    files = ev.groupBy("path", "at").agg(*[F.unix_micros(f("ts")).alias(c) for f, c in ((F.min, "lo"), (F.max, "hi"))]).filter("lo IS NOT NULL")
+    newest, behind = None, 0
+    at_once = files.groupBy("at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("n"))
+    for f in at_once.orderBy("at").collect():  # a row per modification time
+        before = [x for x in (newest, f["hi"] if f["n"] > 1 else None) if x is not None]
+        behind = max([behind, *(x - f["lo"] for x in before)])
+        newest = max([f["hi"], *before])
+    wanted = spark.range(1).select(F.expr(f"CAST(unix_micros(TIMESTAMP_SECONDS(0) + INTERVAL {least}) AS BIGINT)")).first()[0]
+    return least if behind < wanted else f"{behind // 1_000_000 + 1} seconds"
+
+
 def clean_derive(df: DataFrame, median_value: float) -> DataFrame:
     """H1 transform (same for batch and stream): impute with a fitted median, derive."""
     m = event_measurements(df)
@@ -91,7 +111,8 @@ def stream_window_monitor(spark: SparkSession, sf_dir: str, window: str = "1 hou
                           watermark: str = "2 hours") -> DataFrame:
     """H2 on the stream in update mode; the final value of a window is its
     latest emitted update (``max_by`` on the batch id)."""
-    out = run_to_table(window_monitor(read_event_stream(spark, sf_dir), window, slide, watermark), spark, "h2",
+    delay = lateness(spark, sf_dir, watermark)
+    out = run_to_table(window_monitor(read_event_stream(spark, sf_dir), window, slide, delay), spark, "h2",
                        output_mode="update")
     res = spark.read.parquet(out)
     cols = ["n_events", "n_missing", "sum_value", "n_value", "n_above_limit"]
@@ -111,9 +132,9 @@ def sessions(df: DataFrame, gap: str = "30 minutes", watermark: str = "2 hours")
                     F.col("s.end").cast("timestamp_ntz").alias("session_end"), "n_events", "n_missing")
 
 
-def stream_sessions(spark: SparkSession, sf_dir: str, gap: str = "30 minutes") -> DataFrame:
+def stream_sessions(spark: SparkSession, sf_dir: str, gap: str = "30 minutes", watermark: str = "2 hours") -> DataFrame:
     """H2 sessions on the stream in complete mode: the last batch holds every session."""
-    out = run_to_table(sessions(read_event_stream(spark, sf_dir), gap), spark, "h2s", output_mode="complete")
+    out = run_to_table(sessions(read_event_stream(spark, sf_dir), gap, lateness(spark, sf_dir, watermark)), spark, "h2s", output_mode="complete")
     res = spark.read.parquet(out)
     last = res.agg(F.max("_batch")).first()[0]
     return res.where(F.col("_batch") == F.lit(last)).drop("_batch")
@@ -126,7 +147,7 @@ def stream_outlier_rate(spark: SparkSession, sf_dir: str, window: str = "1 day",
     lo, hi = outlier_bounds(event_measurements(table(spark, sf_dir, "events")), ["value"])["value"]
     m = event_measurements(read_event_stream(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp"))
     v = F.col("value")
-    rate = (m.withWatermark("ts", watermark).groupBy(F.window("ts", window).alias("w")).agg(
+    rate = (m.withWatermark("ts", lateness(spark, sf_dir, watermark)).groupBy(F.window("ts", window).alias("w")).agg(
         F.count("value").alias("n_value"), F.count_if((v < F.lit(lo)) | (v > F.lit(hi))).alias("n_outliers"))
         .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_value", "n_outliers"))
     res = spark.read.parquet(run_to_table(rate, spark, "h2o", output_mode="update"))
@@ -138,7 +159,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str, watermark: str = "2 hours")
     """H3: drop repeated events (same ``event_id``) within the watermark; the
     stream contains every event twice (the table and a replay of it)."""
     s = read_event_stream(spark, sf_dir).unionByName(read_event_stream(spark, sf_dir))
-    d = (event_measurements(s).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    d = (event_measurements(s).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness(spark, sf_dir, watermark))
          .dropDuplicatesWithinWatermark(["event_id"]))
     out = run_to_table(d, spark, "h3")
     return spark.read.parquet(out).drop("_batch").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
