@@ -9,7 +9,9 @@ pages, the tokens under it are boilerplate. A longer repeat is covered by its wi
 that length, so the depth loses nothing.
 
 A block is dropped if it lies in page furniture (menus, headers, footers, sidebars,
-forms, adverts, notices, comments, by element or by class, id or role). On a page with an
+forms, adverts, notices, comments, by element or by class, id or role). Inside an article or
+main element only whole names of clear furniture count, never the id of a heading, and an
+element around one is not furniture because of a word in its names. On a page with an
 article or main element the blocks inside it are the text: passages that articles share
 are theirs and stay. On other pages the blocks that boilerplate covers are dropped and the
 unique runs stay.
@@ -56,22 +58,65 @@ _NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsor
 _OPTIONAL_END = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 
 
-def _is_furniture(tag: str, attributes: str, in_content: bool) -> bool:
+#: Inside an article or main element only these count: whole class tokens, ids and roles that name nothing an author writes.
+_CLEAR = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "sidebar", "breadcrumb",
+          "breadcrumbs", "comments", "disqus", "related", "share", "sharing", "social", "subscribe", "newsletter", "popup", "modal", "pagination",
+          "ad-slot", "ad-container", "cookie-notice", "cookie-banner", "share-buttons", "social-share", "related-posts", "related-articles",
+          "newsletter-signup", "comment-list", "comments-area"}
+_CLEAR_IDS = {"comments", "disqus", "disqus_thread", "respond"}
+_CLEAR_ROLES = {"navigation", "complementary", "contentinfo", "search"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_NONE, _LOOSE, _CLEARLY, _BY_TAG = range(4)
+
+
+def _kind(tag: str, attributes: str, in_content: bool) -> int:
+    """How surely an element is furniture: by its tag, by a whole clear name, by a word in its names, or not."""
+    if tag == "form":
+        return _LOOSE
     if tag in _FURNITURE or (tag == "header" and not in_content):
-        return True
+        return _BY_TAG
     if tag in ("html", "body") or tag in _CONTENT:
-        return False
-    for _, *values in _ATTRIBUTE.findall(attributes):
-        words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()))
-        if words & _NAMES:
-            return True
-    return False
+        return _NONE
+    kind = _NONE
+    for attribute, *values in _ATTRIBUTE.findall(attributes):
+        value, attribute = "".join(values), attribute.lower()
+        clear = _CLEAR if attribute == "class" else _CLEAR_ROLES if attribute == "role" else _CLEAR_IDS
+        if not clear.isdisjoint(value.lower().split()) and not (in_content and attribute == "id" and tag in _HEADINGS):
+            return _CLEARLY
+        if not in_content and not _NAMES.isdisjoint(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
+            kind = _LOOSE
+    return kind
+
+
+class _Element:
+    """An open element; ``holds`` counts the article and main elements in it."""
+
+    __slots__ = ("name", "kind", "content", "parent", "holds", "main", "furniture")
+
+    def __init__(self, name: str, kind: int, parent: _Element | None):
+        self.name, self.kind, self.parent, self.holds, self.main, self.furniture = name, kind, parent, 0, False, None
+        self.content = name in _CONTENT or (parent is not None and parent.content)
+        if name in _CONTENT:
+            up = parent
+            while up is not None:
+                up.holds, up.main = up.holds + 1, up.main or name == "main"
+                up = up.parent
+
+    def within(self, total: int) -> bool:
+        """Whether it or an element around it is furniture. A wrapper of an article or main element is none by a word in
+        its names, and by a clear name only if the page has others (``total`` in all) and it holds no main element."""
+        if self.furniture is None:
+            own = (self.kind == _BY_TAG or (self.kind == _LOOSE and not self.holds)
+                   or (self.kind == _CLEARLY and not self.main and (not self.holds or self.holds < total)))
+            self.furniture = own or (self.parent is not None and self.parent.within(total))
+        return self.furniture
 
 
 def parse(page: str) -> list[tuple[str, str, bool, bool]]:
     """(tag, text, furniture, content) of a page's blocks in order; text is decoded and its white space collapsed."""
-    blocks: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, within furniture, within content
+    blocks: list[tuple[str, str, _Element]] = []
+    root = _Element("", _NONE, None)
+    stack: list[_Element] = []
     run: list[str] = []
     tag_of = "body"
 
@@ -79,8 +124,7 @@ def parse(page: str) -> list[tuple[str, str, bool, bool]]:
         text = " ".join(_html.unescape("".join(run)).split())
         run.clear()
         if text:
-            furniture, content = stack[-1][1:] if stack else (False, False)
-            blocks.append((tag_of, text, furniture, content))
+            blocks.append((tag_of, text, stack[-1] if stack else root))
 
     for m in _TOKEN.finditer(page):
         name = m.group(3)
@@ -90,29 +134,30 @@ def parse(page: str) -> list[tuple[str, str, bool, bool]]:
                 run.append(whole)
             continue
         name, closing = name.lower(), m.group(2) == "/"
-        if name in _INLINE and not (not closing and name not in _VOID and _is_furniture(name, m.group(4), True)):
+        parent = stack[-1] if stack else root
+        if name in _INLINE and (closing or name in _VOID or not _kind(name, m.group(4), parent.content)):
             if name == "br":
                 run.append(" ")
-            elif closing and any(s[0] == name for s in stack):  # an inline element that was opened as furniture
+            elif closing and any(s.name == name for s in stack):  # an inline element that was opened as furniture
                 flush()
-                while stack and stack.pop()[0] != name:
+                while stack and stack.pop().name != name:
                     pass
             continue
         flush()
         if closing:
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
+            if any(s.name == name for s in stack):
+                while stack.pop().name != name:
                     pass
-            tag_of = stack[-1][0] if stack else "body"
+            tag_of = stack[-1].name if stack else "body"
         else:
-            if name in _OPTIONAL_END and stack and stack[-1][0] == name:
+            if name in _OPTIONAL_END and stack and stack[-1].name == name:
                 stack.pop()
+                parent = stack[-1] if stack else root
             tag_of = name
             if name not in _VOID and not m.group(4).endswith("/"):
-                furniture, content = stack[-1][1:] if stack else (False, False)
-                stack.append((name, furniture or _is_furniture(name, m.group(4), content), content or name in _CONTENT))
+                stack.append(_Element(name, _kind(name, m.group(4), parent.content), parent))
     flush()
-    return blocks
+    return [(tag, text, e.within(root.holds), e.content) for tag, text, e in blocks]
 
 
 def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:

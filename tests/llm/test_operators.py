@@ -383,6 +383,19 @@ def test_html_awkward():
     assert html_extract.extract_group(["", "no markup < at > all", "<p>a<!-- c --", "<script>x"]) == ["", "no markup < at > all", "a", ""]
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><h1>T</h1><h2 id="related-work">Related work</h2><p>a</p></article>', "T\nRelated work\na"),
+    ('<main><section id="search-engines"><h2 id="comments">Engines</h2><p>a</p></section></main>', "Engines\na"),
+    ('<article><div class="article-header"><h1>T</h1></div><p>a <span class="token comment"># b</span></p></article>', "T\na # b"),
+    ('<body><div class="no-sidebar"><nav>n</nav><article><h1>T</h1><p>a</p></article></div>', "T\na"),
+    ('<div class="sidebar"><article><p>a</p></article></div>', "a"),
+    ('<form id="aspnetForm"><div id="header-wrap">x<main><p>a</p><form>f</form></main></div></form>', "a"),
+    ('<article><p>a</p><div class="share">s</div><span class="ad">buy</span></article><div class="related"><article>teaser</article></div>', "a"),
+])
+def test_html_names_inside_articles(page, want):
+    assert html_extract.extract_group([page]) == [want]
+
+
 def test_html_unmarked_boilerplate():
     """Pages without an article element: runs that most pages of the host share go, unique runs stay."""
     top = "<div>Welcome to the best site of all for news and more news every day</div>"
