@@ -12,8 +12,10 @@ A block is dropped if it lies in page furniture (menus, headers, footers, sideba
 forms, adverts, notices, comments, by element or by class, id or role). Inside an article or
 main element only whole names of clear furniture count, never the id of a heading, and an
 element around one is not furniture because of a word in its names. On a page with an
-article or main element the blocks inside it are the text: passages that articles share
-are theirs and stay. On other pages the blocks that boilerplate covers are dropped and the
+article or main element the blocks inside it are the text, but for those under substrings that
+``ARTICLE_SHARE`` of the group's pages have (subscribe lines, share prompts); passages that fewer
+articles share are theirs and stay, and an article that would lose most of its words is a copy and
+stays whole. On other pages the blocks that boilerplate covers are dropped and the
 unique runs stay.
 
 Cases: null or empty html gives an empty text; a null url is a host of its own; rows that
@@ -39,6 +41,8 @@ GROUP_PAGES = 200
 BROADCAST_HOSTS = 500_000
 REPEAT = 8
 LEAST_PAGES, LEAST_SHARE = 3, 0.5
+#: Inside an article only what nearly every page of the host has is boilerplate: articles share passages too.
+ARTICLE_PAGES, ARTICLE_SHARE = 10, 0.8
 COVERED = 0.8
 
 _TOKEN = re.compile(
@@ -173,8 +177,8 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def boilerplate(streams: list[list[int]], repeat: int = REPEAT, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> list[np.ndarray]:
-    """For each page's stream, which tokens lie under a substring of ``repeat`` tokens that is on enough distinct pages."""
+def boilerplate(streams: list[list[int]], levels: list[tuple[int, float]], repeat: int = REPEAT) -> list[list[np.ndarray]]:
+    """For each (pages, share) level and page's stream, which tokens lie under a substring of ``repeat`` tokens that is on enough distinct pages."""
     lengths = np.array([len(s) + 1 for s in streams])
     top = max((max(s, default=0) for s in streams), default=0) + 1
     tokens = np.concatenate([np.array([*s, top + i], np.int64) for i, s in enumerate(streams)])  # each page ends in a token of its own
@@ -182,12 +186,15 @@ def boilerplate(streams: list[list[int]], repeat: int = REPEAT, least_pages: int
     rank = suffix_ranks(tokens, repeat)
     seen = np.unique(rank * len(streams) + page) // len(streams)  # one entry a (prefix, page)
     pages = np.bincount(seen, minlength=rank.max() + 1)
-    start = np.flatnonzero(pages[rank] >= max(least_pages, least_share * len(streams)))
-    edge = np.zeros(len(tokens) + repeat + 1, np.int64)
-    np.add.at(edge, start, 1)
-    np.add.at(edge, start + repeat, -1)
-    covered = np.cumsum(edge)[:len(tokens)] > 0
-    return [c[:-1] for c in np.split(covered, np.cumsum(lengths)[:-1])]
+    out = []
+    for least_pages, least_share in levels:
+        start = np.flatnonzero(pages[rank] >= max(least_pages, least_share * len(streams)))
+        edge = np.zeros(len(tokens) + repeat + 1, np.int64)
+        np.add.at(edge, start, 1)
+        np.add.at(edge, start + repeat, -1)
+        covered = np.cumsum(edge)[:len(tokens)] > 0
+        out.append([c[:-1] for c in np.split(covered, np.cumsum(lengths)[:-1])])
+    return out
 
 
 def extract_group(pages: list[str]) -> list[str]:
@@ -205,12 +212,14 @@ def extract_group(pages: list[str]) -> list[str]:
             span.append((at, len(stream)))
         streams.append(stream)
         spans.append(span)
-    covered = boilerplate(streams)
     out = []
-    for blocks, span, cover in zip(parsed, spans, covered):
+    for blocks, span, cover, wide in zip(parsed, spans, *boilerplate(streams, [(LEAST_PAGES, LEAST_SHARE), (ARTICLE_PAGES, ARTICLE_SHARE)])):
         article = any(content and not furniture for _, _, furniture, content in blocks)
-        out.append("\n".join(text for (_, text, furniture, content), (s, e) in zip(blocks, span)
-                             if not furniture and (content if article else cover[s:e].mean() < COVERED)))
+        kept = [(text, s, e) for (_, text, furniture, content), (s, e) in zip(blocks, span) if not furniture and (content or not article)]
+        unique = [(text, s, e) for text, s, e in kept if (wide if article else cover)[s:e].mean() < COVERED]
+        if article and 2 * sum(e - s for _, s, e in unique) < sum(e - s for _, s, e in kept):
+            unique = kept  # a copy of another page's article
+        out.append("\n".join(text for text, _, _ in unique))
     return out
 
 

@@ -404,6 +404,17 @@ def test_html_unmarked_boilerplate():
     assert html_extract.extract_group(pages[:2]) != [f"page {i} says something of its own number {i * i} here" for i in range(2)]
 
 
+def test_html_unmarked_boilerplate_in_articles():
+    """A line that nearly every article of the host has goes; a passage that a third share, and copies of one article, stay."""
+    line = "Sign up now to get all of our stories by mail every single morning"
+    passage = "This passage of eight words or more is quoted by some of the articles"
+    own = [" ".join(f"word{i}x{k}" for k in range(40)) for i in range(30)]
+    pages = [f"<article><h1>Title {i}</h1><p>{own[i]}</p><p>{line}</p>{f'<p>{passage}</p>' if i % 3 == 0 else ''}</article>" for i in range(30)]
+    assert html_extract.extract_group(pages) == [f"Title {i}\n{own[i]}" + (f"\n{passage}" if i % 3 == 0 else "") for i in range(30)]
+    copies = [f"<article><h1>Title {i}</h1><p>{own[0]}</p></article>" for i in range(30)]
+    assert html_extract.extract_group(copies) == [f"Title {i}\n{own[0]}" for i in range(30)]
+
+
 def test_suffix_ranks():
     rng = np.random.default_rng(6)
     tokens = rng.integers(0, 3, 300)
