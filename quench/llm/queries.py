@@ -87,10 +87,48 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quench.llm import line_dedup
+
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quench.llm import kmeans
+
+    rows = kmeans.with_inertia(*kmeans.cluster(table(spark, sf_dir, "embeddings")))
+    return rows.withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op3_toxicity, op4_token_files, op5_exact_dedup, op6_personal_data, op7_secret_scan, op8_html_extraction, op9_lm_scores,
-                                   op10_simhash_near_dedup)}
+                                   op10_simhash_near_dedup, op11_line_dedup, op12_centroid_clustering)}
 
 _BENCH_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _kmeans_sql(rounds: int = 5, k: int = 40) -> str:
+    """Unrolled rounds: a<r> assigns every vector to the centroids c<r>, c<r+1> are the floored means."""
+    assign = """a{r} AS (SELECT i, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+  SELECT i, c, CAST(list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM x, c{r}) GROUP BY i)"""
+    move = """m{r} AS (SELECT c, list(m ORDER BY j) AS w FROM (
+  SELECT c, j, CAST((sum(e) - ((sum(e) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+  FROM (SELECT c, unnest(v) AS e, unnest(range(1, 65)) AS j FROM a{r} JOIN x USING (i)) GROUP BY c, j) GROUP BY c),
+c{s} AS (SELECT c, coalesce(m{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN m{r} USING (c))"""
+    steps = ",\n".join(x for r in range(rounds) for x in (assign.format(r=r), move.format(r=r, s=r + 1)))
+    return f"""
+WITH x AS (SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS c, v AS w
+  FROM (SELECT v, sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM x) ORDER BY h, v LIMIT {k}),
+{steps},
+{assign.format(r=rounds)},
+s AS (SELECT c, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY c)
+SELECT vec_id, c AS cluster, d AS distance, cluster_inertia, (SELECT CAST(sum(d) AS BIGINT) FROM a{rounds}) AS inertia,
+       sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a{rounds} JOIN x USING (i) JOIN c{rounds} USING (c) JOIN s USING (c)"""
+
 
 ORACLES = {
     "op2_benchmark_decontamination": f"""
@@ -112,4 +150,15 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""",
+    "op11_line_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key
+      HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3),
+j AS (SELECT r, line, pos, top IS NOT NULL AND (doc_id IS NULL OR doc_id < top) AS gone FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j JOIN d USING (r) GROUP BY r""",
+    "op12_centroid_clustering": _kmeans_sql(),
 }
