@@ -101,8 +101,15 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "vec_id")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quench.llm import conversation_repair
+
+    given = table(spark, sf_dir, "conversations")
+    return conversation_repair.digests(given.select(F.col("conv_id").alias("conv")), conversation_repair.damage(given)).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_benchmark_decontamination, op3_toxicity, op4_token_files, op5_exact_dedup, op6_personal_data, op7_secret_scan, op8_html_extraction, op9_lm_scores,
-                                   op10_simhash_near_dedup, op11_line_dedup, op12_centroid_clustering)}
+                                   op10_simhash_near_dedup, op11_line_dedup, op12_centroid_clustering, op13_conversation_repair)}
 
 _BENCH_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

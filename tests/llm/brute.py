@@ -145,3 +145,108 @@ def article(page):
     body = page[page.index("<article>") + 9:page.index("</article>")].replace("<br>", " ")
     blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", body))
     return "\n".join(b for b in blocks if b)
+
+
+def line_dedup(rows, min_chars=20, min_docs=3):
+    """(n_lines, n_dropped, kept text) per (doc_id, text) row."""
+    space = " \t\n\x0b\x0c\r"
+    holders = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            holders[lower(line.strip(space))].add(i)
+    out = []
+    for i, t in rows:
+        lines, kept = (t or "").split("\n"), []
+        for line in lines:
+            key = lower(line.strip(space))
+            ids = holders[key]
+            top = max((x for x in ids if x is not None), default=None)
+            if len(key) < min_chars or len(ids) < min_docs or i == top:
+                kept.append(line)
+        out.append((len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def kmeans(rows, k=40, rounds=5, dims=64):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid digest) per kept vector, in Python integers."""
+    kept = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    start = sorted(kept, key=lambda r: (sha(f"2:{'' if r[0] is None else r[0]}"), r[1]))
+    centroids = [v for _, v in start[:k]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, w)), c) for c, w in enumerate(centroids)) for _, v in kept]
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for (_, v), (_, c) in zip(kept, assign()):
+            members[c].append(v)
+        for c, vs in members.items():
+            centroids[c] = [sum(x) // len(vs) for x in zip(*vs)]
+    found = assign()
+    inertia = Counter()
+    for d, c in found:
+        inertia[c] += d
+    return [(i, c, d, inertia[c], sum(inertia.values()), sha(",".join(map(str, centroids[c])))) for (i, _), (d, c) in zip(kept, found)]
+
+
+def damage(rows):
+    out = []
+    for c, t, r, x in rows:
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        r, x = (" " if r is None else r), (" " if x is None else x)
+        if kind:
+            x = "" if kind == 1 else re.sub("[.!?]", "", x) if kind == 2 else x
+            out += [(c, t, "user" if kind == 4 else r, x)] * (2 if kind == 3 else 1)
+    return out
+
+
+def cheapest_repair(faults, rows):
+    """(cost, audit, repaired rows), by trying every edit from the end (memoised); rows are (role, text)."""
+    done = {}
+
+    def best(i, q, inserts):
+        if (i, q, inserts) in done:
+            return done[i, q, inserts]
+        options, other = [], "assistant" if q == "u" else "user"
+        if i == len(rows):
+            options += [(0, "", ())] if q in ("", "a") else []
+        else:
+            (role, text), fault = rows[i], faults[i]
+            cost, audit, kept = best(i + 1, q, 0)
+            options.append((cost + 4, "D" + audit, kept))
+            if fault not in ("blank", "duplicate"):
+                extra = 3 * (fault == "truncated")
+                cost, audit, kept = best(i + 1, other[0], 0)
+                options.append((cost + 3 + extra, "R" + audit, (f"{other}:{text}", *kept)))
+                if role[:1] and q + role[:1] in ("s", "u", "su", "ua", "au"):
+                    cost, audit, kept = best(i + 1, role[0], 0)
+                    options.append((cost + extra, "K" + audit, (f"{role}:{text}", *kept)))
+        if inserts < 4:
+            cost, audit, kept = best(i, other[0], inserts + 1)
+            options.append((cost + 3, "I" + audit, (f"{other}:", *kept)))
+        done[i, q, inserts] = min(options, default=(10 ** 9, "~", ()))
+        return done[i, q, inserts]
+
+    for i in range(len(rows), -1, -1):  # shallow recursion
+        for q in ("", "s", "u", "a"):
+            best(i, q, 0)
+    return best(0, "", 0)
+
+
+def conversations(all_ids, rows):
+    """The digests of rows (conv, turn, role, text) after damage, one per id."""
+    out = []
+    for c in set(all_ids):
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        seen, faults = set(), []
+        for _, _, role, text in own:
+            s = text.strip(" \t\n\x0b\x0c\r")
+            faults.append("blank" if not s else "duplicate" if (role, text) in seen else "truncated" if s[-1] not in ".!?" else "")
+            seen.add((role, text))
+        turns = [r[1] for r in own if r[1] is not None]
+        cost, audit, kept = cheapest_repair(faults, [r[2:] for r in own])
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        out.append((c, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *map(faults.count, ("blank", "duplicate", "truncated")),
+                    illegal, cost, audit, sha("\n".join(kept))))
+    return out
