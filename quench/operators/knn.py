@@ -1,151 +1,191 @@
-"""Exact k-nearest neighbours: C5 imputation without emitting all pairs, M6
-classifier in blocks.
-
-Grid join with doubling cell width: for any coordinate ``c`` present in
-both rows, ``|q_c - d_c| <= dist(q, d)`` (also for the NaN-aware distance,
-whose weight ``n_features / n_present`` is >= 1). Up to three complete
-coordinates form a grid of cells of width ``W``; each query is joined only
-with donors in its 3^m neighbouring cells (an equi-join on the cell after
-exploding the query). A query is **final** once it has k candidates and its
-k-th distance is <= W: every donor outside the neighbourhood differs by more
-than W in some grid coordinate, so it is farther than W. Unresolved queries
-go to the next round with 2W; when the band spans the whole range every
-remaining query is final. Nothing is capped and results are exact; ties at
-equal distance are broken by donor id.
-
-Donors that are exact copies collapse before the join (``groupBy`` on the
-coordinates with a count), so a value repeated by a third of the table is one
-candidate row with a multiplicity, not a third of the table per query.
+"""Exact k-nearest neighbours: C5 imputation over a k-d tree without emitting all
+pairs, and the M6 classifier in blocks.
+
+C5: a search is a (row, missing feature) pair; its donors are the rows that have the
+feature. Distances are NaN-aware Euclidean (shared coordinates, weighted by features /
+shared coordinates, a weight of at least 1), so a gap in any shared coordinate bounds a
+distance from below. Donors that are exact copies collapse to one row with a multiplicity.
+
+1. Donors are put in the leaves of a k-d tree (``kdtree``; rows that lack a split
+   coordinate have a branch of their own, so no complete column is needed).
+2. Each search visits the smallest subtree on its way down that holds k donors with its
+   feature. With k comparable donors found, the k-th distance is a radius; with fewer, it
+   visits a subtree eight times as large, up to the whole tree.
+3. Each search with a radius visits every other leaf whose box the ball touches. Every
+   donor outside is farther than the k-th found, so the result is exact. Nothing is
+   capped; ties at equal distance are broken by donor id.
+
+A visit is a row (leaf, search). Leaves hold a bounded number of donors, and searches
+that meet in one leaf are split into blocks, each of which gets the leaf's donors; distances
+are computed per block in NumPy and at most k donors a search leave it. Dense regions have
+smaller leaves, so clustered and even data cost about the same.
 """
 
 from __future__ import annotations
 
 import logging
-import math
-import time
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quench.functions.constants import LABEL, ROW_ID
+from quench.operators import kdtree
 
 log = logging.getLogger(__name__)
 
-
-def _nan_euclid_sq(features: list[str], q: str = "q_", d: str = "d_"):
-    present = [F.col(f"{q}{f}").isNotNull() & F.col(f"{d}{f}").isNotNull() for f in features]
-    diffs = [F.col(f"{q}{f}") - F.col(f"{d}{f}") for f in features]
-    sq = sum((F.when(p, x * x).otherwise(F.lit(0.0)) for p, x in zip(present, diffs)), F.lit(0.0))
-    n = sum((p.cast("int") for p in present), F.lit(0))
-    # weight = total coordinates / present coordinates (NaN-aware Euclidean)
-    return F.when(n > 0, F.lit(float(len(features))) / n * sq)
-
-
-def _pick_bands(df: DataFrame, features: list[str], m: int = 3) -> list[str]:
-    """Up to ``m`` coordinates without NULLs, widest spread first (one aggregate)."""
-    row = df.agg(*[F.count(F.col(f)).alias(f"{f}__n") for f in features], F.count(F.lit(1)).alias("_n"),
-                 *[F.stddev_pop(F.col(f)).alias(f"{f}__s") for f in features]).first()
-    complete = [f for f in features if row[f"{f}__n"] == row["_n"] and (row[f"{f}__s"] or 0.0) > 0]
-    if not complete:
-        raise ValueError("k-NN grid join needs one non-constant feature without NULLs")
-    return sorted(complete, key=lambda f: (-(row[f"{f}__s"] or 0.0), f))[:m]
-
-
-def knn_aggregate(queries: DataFrame, donors: DataFrame, features: list[str], k: int, bands: list[str],
-                  qid: str, did: str, payload: list[str], max_rounds: int = 40,
-                  group: str | None = None, n_groups: int = 1) -> DataFrame:
-    """For each query row: the k nearest donors' ``payload`` columns aggregated as
-    ``avg_<col>`` (uniform mean), plus ``n_neighbors``. ``donors`` carries a
-    multiplicity column ``_mult`` (collapsed copies). ``bands`` are complete
-    coordinates; the grid cell of width W in each is the join key and a query
-    probes its 3^m neighbouring cells. With ``group``, queries only meet donors
-    of the same group (an extra equi-join key), so several independent searches
-    share one set of rounds; ``n_groups`` keeps the density estimate per group."""
-    import itertools
-
-    stats = donors.agg(*[F.min(b).alias(f"lo_{b}") for b in bands], *[F.max(b).alias(f"hi_{b}") for b in bands],
-                       F.sum("_mult").alias("n")).first()
-    if stats["n"] is None or stats["n"] == 0:
-        return queries.select(qid).withColumn("n_neighbors", F.lit(0)).select(
-            qid, *[F.lit(None).cast("double").alias(f"avg_{p}") for p in payload], "n_neighbors")
-    spans = [max(stats[f"hi_{b}"] - stats[f"lo_{b}"], 1e-12) for b in bands]
-    volume = 1.0
-    for sp in spans:
-        volume *= sp
-    # start with cells expected to hold about k donors at even density; only unresolved queries double them
-    per_group = float(stats["n"]) / max(n_groups, 1)
-    width = max((k * volume / per_group) ** (1.0 / len(bands)), 1e-12)
-    cols = list(features)
-    tag = [F.col(group).alias("_g")] if group else []
-    q = queries.select(F.col(qid).alias("qid"), *tag, *[F.col(f).alias(f"q_{f}") for f in cols])
-    # donors are probed every round: materialise them once (lineage cut in the shared folder)
-    d = donors.select(F.col(did).alias("did"), "_mult", *tag, *[F.col(f).alias(f"d_{f}") for f in cols],
-                      *[F.col(p).alias(f"v_{p}") for p in payload]).checkpoint(eager=True)
-    offsets = list(itertools.product((-1, 0, 1), repeat=len(bands)))
-    results, pending = _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_rounds)
-    out = results
-    if pending is not None:
-        raise RuntimeError("k-NN did not converge within max_rounds")
-    # queries with no comparable donor at all
-    missing = q.select("qid").join(out.select("qid"), "qid", "left_anti").select(
-        "qid", *[F.lit(None).cast("double").alias(f"avg_{p}") for p in payload],
-        F.lit(0).cast("bigint").alias("n_neighbors"))
-    out = out.select("qid", *[f"avg_{p}" for p in payload], F.col("n_neighbors").cast("bigint"))
-    return out.unionByName(missing).withColumnRenamed("qid", qid)
-
-
-def _knn_rounds(q, d, features, k, bands, payload, width, spans, offsets, max_rounds):
-    """Doubling-width rounds; returns (final rows of all resolved queries, unresolved or None)."""
-    results = []
-    pending = q
-    for rnd in range(max_rounds):
-        t_round = time.time()
-        final_round = width >= max(spans)
-        cells = [F.floor(F.col(f"q_{b}") / width) for b in bands]
-        probe = F.explode(F.array(*[
-            F.struct(*[(c + o).alias(f"_c{i}") for i, (c, o) in enumerate(zip(cells, off))]) for off in offsets]))
-        qb = pending.select("*", probe.alias("_cell")).select("*", *[F.col(f"_cell._c{i}").alias(f"_c{i}")
-                                                                     for i in range(len(bands))]).drop("_cell")
-        db = d.select("*", *[F.floor(F.col(f"d_{b}") / width).alias(f"_c{i}") for i, b in enumerate(bands)])
-        keys = [f"_c{i}" for i in range(len(bands))] + (["_g"] if "_g" in q.columns else [])
-        pairs = qb.join(db, keys).withColumn("_dist2", _nan_euclid_sq(features)).where(F.col("_dist2").isNotNull())
-        # expand multiplicities only up to k (a copy repeated more than k times cannot add neighbours)
-        pairs = pairs.withColumn("_m", F.least(F.col("_mult"), F.lit(k)))
-        w = Window.partitionBy("qid").orderBy("_dist2", "did")
-        # every donor row counts at least once, so only a query's first k rows
-        # can contribute; a row_number filter lets Spark cut candidates to k per
-        # query on the map side before the shuffle (partial WindowGroupLimit)
-        near = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-        ranked = near.withColumn("_cum", F.sum("_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        top = ranked.where(F.col("_cum") - F.col("_m") < k).withColumn(
-            "_take", F.least(F.col("_m"), F.lit(k) - (F.col("_cum") - F.col("_m"))))
-        agg = top.groupBy("qid").agg(
-            F.sum("_take").alias("n_neighbors"), F.max("_dist2").alias("_kth"),
-            *[(F.sum(F.col(f"v_{p}") * F.col("_take")) / F.sum("_take")).alias(f"avg_{p}") for p in payload])
-        agg = agg.checkpoint(eager=True)
-        ok = (F.col("n_neighbors") >= k) & (F.col("_kth") <= F.lit(width * width))
-        done = agg.where(ok) if not final_round else agg
-        results.append(done.drop("_kth"))
-        if final_round:
-            pending = None
-            break
-        pending = pending.join(done.select("qid"), "qid", "left_anti").checkpoint(eager=True)
-        log.info("knn round %d width %.4g: %.1fs", rnd, width, time.time() - t_round)
-        if pending.isEmpty():
-            pending = None
+#: Searches that meet one leaf's donors in one task, and the distances held at once.
+BLOCK, DISTANCES = 4096, 1 << 21
+
+
+def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Squared NaN-aware distances of each row of ``q`` to each of ``x`` (inf: nothing shared)."""
+    total, shared = np.zeros((len(q), len(x))), np.zeros((len(q), len(x)))
+    for c in range(q.shape[1]):
+        a, b = ~np.isnan(q[:, c]), ~np.isnan(x[:, c])
+        if not a.any() or not b.any():
+            continue
+        diff = np.where(a, q[:, c], 0.0)[:, None] - np.where(b, x[:, c], 0.0)[None, :]
+        diff *= diff
+        if a.all() and b.all():
+            shared += 1.0
+        else:
+            both = a[:, None] & b[None, :]
+            diff *= both
+            shared += both
+        total += diff
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(shared > 0, q.shape[1] / shared * total, np.inf)
+
+
+def _nearest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k smallest entries of each row; of equal ones those of lower column."""
+    if d.shape[1] <= k:
+        return tuple(a.ravel() for a in np.indices(d.shape))
+    near = np.argpartition(d, k - 1, axis=1)[:, :k]
+    edge = np.take_along_axis(d, near, 1).max(1)
+    for i in np.flatnonzero((d <= edge[:, None]).sum(1) > k):  # ties at the edge
+        at = np.flatnonzero(d[i] <= edge[i])
+        near[i] = at[np.argsort(d[i][at], kind="stable")][:k]
+    return np.repeat(np.arange(len(d)), k), near.ravel()
+
+
+def _visit(k: int, dims: int):
+    """Donors of a leaf against the searches that visit it: ``tid, d2, did, mult, val``."""
+    def run(searches: pa.Table, donors: pa.Table) -> pa.Table:
+        def column(t, name):
+            return t.column(name).combine_chunks()
+
+        out = []
+        if searches.num_rows and donors.num_rows:
+            donors = donors.sort_by("did")  # so that equal distances are in order of the donor's id
+            x, q = kdtree.matrix(column(donors, "x"), dims), kdtree.matrix(column(searches, "x"), dims)
+            did, mult = column(donors, "did"), column(donors, "mult").to_numpy()
+            f, bound, tid = (column(searches, c).to_numpy() for c in ("f", "bound", "tid"))
+            for feature in np.unique(f):
+                have = np.flatnonzero(~np.isnan(x[:, feature]))
+                mine = np.flatnonzero(f == feature)
+                step = max(1, DISTANCES // max(len(have), 1))
+                for s in range(0, len(mine) if len(have) else 0, step):
+                    part = mine[s:s + step]
+                    d = _distances(q[part], x[have])
+                    row, at = _nearest(d, k)
+                    d2 = d[row, at]
+                    keep = np.isfinite(d2) & (d2 <= bound[part][row])
+                    row, at, d2 = row[keep], have[at[keep]], d2[keep]
+                    out.append(pa.table({"tid": tid[part][row], "d2": d2, "did": did.take(pa.array(at)), "mult": mult[at], "val": x[at, feature]}))
+        if not out:
+            return pa.table({"tid": pa.array([], pa.int64()), "d2": pa.array([], pa.float64()), "did": column(donors, "did").slice(0, 0),
+                             "mult": pa.array([], pa.int64()), "val": pa.array([], pa.float64())})
+        return pa.concat_tables(out).combine_chunks()
+
+    return run
+
+
+def _plan(tree, k: int, wave: int):
+    """Which leaves each search visits next: ``leaves``, and the range of leaves visited then."""
+    def task(batches):
+        for b in batches:
+            col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
+            t = tree.value
+            x, f = kdtree.matrix(col["x"], t.dims), col["f"].to_numpy()
+            r2 = col["r2"].to_numpy(zero_copy_only=False).astype(float)
+            lo, hi = col["lo"].to_numpy().copy(), col["hi"].to_numpy().copy()
+            leaves = [[] for _ in range(b.num_rows)]
+            ball = np.isfinite(r2)
+            for s in range(0, len(x), 1000):  # bounds the pairs of search and node held at once
+                part = s + np.flatnonzero(ball[s:s + 1000])
+                if len(part):
+                    row, leaf = t.within(x[part], f[part], r2[part])
+                    row = part[row]
+                    fresh = (leaf < lo[row]) | (leaf >= hi[row])
+                    order = np.argsort(row[fresh], kind="stable")
+                    rows, at = np.unique(row[fresh][order], return_index=True)
+                    for i, ls in zip(rows, np.split(leaf[fresh][order], at[1:])):
+                        leaves[i] = ls.tolist()
+            rest = np.flatnonzero(~ball)
+            if len(rest):
+                first, last = t.home(x[rest], f[rest], min(k * 8 ** wave, 1 << 60))
+                for i, a, z in zip(rest, first, last):
+                    fresh = np.concatenate([np.arange(a, min(z, lo[i])), np.arange(max(a, hi[i]), z)]) if hi[i] > lo[i] else np.arange(a, z)
+                    leaves[i] = fresh[t.present[t.leaves[fresh], f[i]] > 0].tolist()
+                    lo[i], hi[i] = a, z
+            yield pa.RecordBatch.from_arrays(
+                [col["tid"], col["f"], col["x"], col["r2"], pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))],
+                ["tid", "f", "x", "r2", "lo", "hi", "leaves"])
+
+    return task
+
+
+def knn_search(searches: DataFrame, donors: DataFrame, dims: int, k: int, leaf_rows: int = kdtree.LEAF_ROWS) -> DataFrame:
+    """``tid, best``: the k nearest donors (d2, did, mult, val) of each search ``tid, f, x``; donors are
+    distinct ``did, mult, x``. A donor of multiplicity m counts m times."""
+    spark = searches.sparkSession
+
+    def write(df):
+        return df.checkpoint(eager=True)
+
+    tree, placed = kdtree.build(donors, dims, write, leaf_rows)
+    shared = spark.sparkContext.broadcast(tree)
+    whole = len(tree.leaves)
+    did_type = donors.schema["did"].dataType.simpleString()
+    best_type = f"array<struct<d2:double,did:{did_type},mult:bigint,val:double>>"
+    state = write(searches.select("tid", "f", "x", F.lit(float("inf")).alias("r2"), F.lit(0).alias("lo"), F.lit(0).alias("hi"),
+                                  F.lit(None).cast(best_type).alias("best")))
+    done = []
+    wave = 0
+    while True:
+        plan = state.select("tid", "f", "x", "r2", "lo", "hi").mapInArrow(
+            _plan(shared, k, wave), "tid bigint, f int, x array<double>, r2 double, lo int, hi int, leaves array<int>")
+        plan = write(plan)
+        visits = plan.select("tid", "f", "x", F.col("r2").alias("bound"), F.explode("leaves").alias("leaf"))
+        blocks = write(visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))  # a row a leaf
+        left = visits.join(F.broadcast(blocks), "leaf").withColumn("block", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")).drop("blocks")
+        right = placed.join(F.broadcast(blocks), "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        found = left.groupBy("leaf", "block").cogroup(right.groupBy("leaf", "block")).applyInArrow(
+            _visit(k, dims), f"tid bigint, d2 double, did {did_type}, mult bigint, val double")
+        old = state.where(F.col("best").isNotNull()).select("tid", F.explode("best").alias("b")).select("tid", "b.*")
+        merged = found.unionByName(old).groupBy("tid").agg(
+            F.slice(F.array_sort(F.collect_list(F.struct("d2", "did", "mult", "val"))), 1, k).alias("best"))  # at most k a visit
+        kth = F.aggregate("best", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(float("inf")).alias("r")),
+                          lambda acc, b: F.when(acc["n"] >= k, acc).otherwise(F.struct(
+                              (acc["n"] + b["mult"]).alias("n"), F.when(acc["n"] + b["mult"] >= k, b["d2"]).otherwise(F.lit(float("inf"))).alias("r"))),
+                          lambda acc: acc["r"])
+        balls = F.col("r2") < F.lit(float("inf"))
+        after = write(plan.join(merged, "tid", "left").select(
+            "tid", "f", "x", F.coalesce(kth, F.lit(float("inf"))).alias("r2"), "lo", "hi", "best",
+            (balls | (F.col("hi") - F.col("lo") >= whole)).alias("final")))
+        done.append(after.where("final").select("tid", "best"))
+        state = after.where("NOT final").drop("final")
+        wave += 1
+        if state.isEmpty():
             break
-        width *= 2.0
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out, pending
-
-
-def _collapse(df: DataFrame, cols: list[str], id_col: str, extra_aggs=None) -> DataFrame:
-    """Collapse exact copies of the coordinate vector: one donor row with ``_mult``."""
-    return df.groupBy(*cols).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("_mult"), *(extra_aggs or []))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID) -> DataFrame:
@@ -157,33 +197,25 @@ def knn_impute(df: DataFrame, features: list[str], k: int = 5, key: str = ROW_ID
         keyed = df.withColumn(key, F.xxhash64(*features)).checkpoint(eager=True)
         filled = knn_impute(keyed, features, k, key)
         return filled.drop(key)
-    bands = _pick_bands(df, features)
-    row = df.agg(*[F.avg(f).alias(f) for f in features],
-                 *[F.count_if(F.col(f).isNull()).alias(f"{f}__null") for f in features]).first()
-    missing_feats = [f for f in features if f not in bands and row[f"{f}__null"] > 0]
-    if not missing_feats:
+    row = df.agg(*[F.avg(f).alias(f) for f in features], *[F.count_if(F.col(f).isNull()).alias(f"{f}__null") for f in features]).first()
+    missing = [f for f in features if row[f"{f}__null"] > 0]
+    if not missing:
         return df
-    # one search per missing feature, all in the same rounds: the feature is an
-    # extra join key, a query is (row, feature) and its donors are the rows
-    # with that feature present (copies collapsed; they share its value)
-    queries = donors = None
-    for f in missing_feats:
-        qf = df.where(F.col(f).isNull()).select(
-            F.struct(F.col(key).alias("key"), F.lit(f).alias("feature")).alias("_qid"), F.lit(f).alias("_feature"), *features)
-        df_ = _collapse(df.where(F.col(f).isNotNull()), features, key).select(
-            key, "_mult", F.lit(f).alias("_feature"), *features, F.col(f).alias("_val"))
-        queries = qf if queries is None else queries.unionByName(qf)
-        donors = df_ if donors is None else donors.unionByName(df_)
-    got = knn_aggregate(queries, donors, features, k, bands, "_qid", key, ["_val"], group="_feature",
-                        n_groups=len(missing_feats))
-    mean_of = F.create_map(*[x for f in missing_feats for x in (F.lit(f), F.lit(row[f]))])
-    long = got.select(F.col("_qid.key").alias(key), F.col("_qid.feature").alias("_feature"), "avg__val").select(
-        key, "_feature", F.coalesce(F.col("avg__val"), mean_of[F.col("_feature")]).alias("_fill"))
-    wide = long.groupBy(key).pivot("_feature", [f for f in missing_feats]).agg(F.min("_fill"))
-    joined = df.join(wide.select(key, *[F.col(f).alias(f"_fill_{f}") for f in missing_feats]), key, "left")
-    return joined.select(*[
-        F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) if c in missing_feats else F.col(c) for c in df.columns
-    ])
+    x = F.array(*[F.col(f).cast("double") for f in features])
+    some = F.coalesce(*[F.col(f) for f in features]).isNotNull()  # a row without any value has no comparable donor
+    donors = df.where(some).groupBy(*features).agg(F.min(key).alias("did"), F.count(F.lit(1)).alias("mult")).select("did", "mult", x.alias("x"))
+    lacking = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(i)) for i, f in enumerate(features)]))
+    searches = (df.where(some).select(F.col(key).alias("_key"), x.alias("x"), F.explode(lacking).alias("f")).distinct()
+                .withColumn("tid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    best = knn_search(searches, donors.checkpoint(eager=True), len(features), k)
+    taken = F.aggregate("best", F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n")),
+                        lambda acc, b: F.struct((acc["s"] + b["val"] * F.least(b["mult"], F.lit(k) - acc["n"])).alias("s"),
+                                                (acc["n"] + F.least(b["mult"], F.lit(k) - acc["n"])).alias("n")),
+                        lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]))
+    fills = searches.join(best.select("tid", taken.alias("fill")), "tid").select("_key", "f", "fill")
+    wide = fills.groupBy("_key").agg(*[F.min(F.when(F.col("f") == features.index(f), F.col("fill"))).alias(f"_fill_{f}") for f in missing])
+    joined = df.join(wide, df[key] == wide["_key"], "left")
+    return joined.select(*[F.coalesce(df[c], F.col(f"_fill_{c}"), F.lit(row[c])).alias(c) if c in missing else df[c] for c in df.columns])
 
 
 class KNNClassifier:
