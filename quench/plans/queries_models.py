@@ -1,6 +1,6 @@
 """Queries: model scoring (M1-M11), k-NN imputation.
 
-Fits on the measurements are not SQL; ``tests/`` checks them by brute force and
+Model fits on the measurements are not SQL; ``tests/`` checks them by brute force and
 by properties. The planted queries give every model a compared row: a noise-free
 rule with a margin (FIXTURES §3), which each model must reproduce on the held-out
 split, naive Bayes in full SQL, and extreme rows for the isolation forest."""
@@ -19,7 +19,7 @@ from quench.operators.split import split_data, train_test
 from quench.plans.catalog import register
 from quench.plans.common import ENGINEERED, engineered
 from quench.plans.queries_features import split_cte
-from quench.plans.sqltext import bits_sql
+from quench.plans.sqltext import MEASUREMENTS_CTE, bits_sql
 from quench.sources.fixtures import measurements_clean, table
 
 
@@ -59,9 +59,34 @@ def q_m9(spark, sf_dir):
     return model.predict(model.score(test)).select(ROW_ID, LABEL, "anomaly_score", "prediction")
 
 
-@register("c5_impute_knn", note="rows-only: checked against brute force in tests")
+def knn_imputed_sql(features: list[str], gaps: list[str], k: int = 5) -> str:
+    """All pairs of rows with a gap and rows with the value; equal distances by the least key among equal rows."""
+    def search(f):
+        shared = {c: f"q.{c} IS NOT NULL AND d.{c} IS NOT NULL" for c in features if c != f}
+        sq = " + ".join(f"CASE WHEN {on} THEN (q.{c} - d.{c}) * (q.{c} - d.{c}) ELSE 0.0 END" for c, on in shared.items())
+        n = " + ".join(f"CASE WHEN {on} THEN 1 ELSE 0 END" for on in shared.values())
+        return (f"near_{f} AS (SELECT q.row_id, min({{'d': CAST({len(features)} AS DOUBLE) / ({n}) * ({sq}), 'g': d.copy_of, 'v': d.{f}}}, {k}) AS best "
+                f"FROM rows_ q, rows_ d WHERE q.{f} IS NULL AND d.{f} IS NOT NULL AND ({n}) > 0 GROUP BY q.row_id)")
+
+    filled = ", ".join(f"coalesce({c}, list_avg(list_transform(near_{c}.best, lambda b: b.v)), (SELECT avg({c}) FROM rows_)) AS {c}" if c in gaps else c
+                       for c in features)
+    return (f"WITH {MEASUREMENTS_CTE},\nrows_ AS MATERIALIZED (SELECT *, min(row_id) OVER (PARTITION BY {', '.join(features)}) AS copy_of FROM measurements),\n"
+            + ",\n".join(search(f) for f in gaps)
+            + f"\nSELECT rows_.row_id, {filled} FROM rows_ " + " ".join(f"LEFT JOIN near_{f} ON rows_.row_id = near_{f}.row_id" for f in gaps))
+
+
+#: The fixture's columns with gaps.
+GAPS = ["ph", "Sulfate", "Trihalomethanes"]
+
+
+@register("c5_impute_knn", knn_imputed_sql(FEATURES, GAPS), GAPS)
 def q_c5(spark, sf_dir):
-    return clean.handle_missing_values(measurements_clean(spark, sf_dir), "knn", n_neighbors=5, features=FEATURES)
+    return clean.handle_missing_values(measurements_clean(spark, sf_dir), "knn", n_neighbors=5, features=FEATURES).select(ROW_ID, *FEATURES)
+
+
+@register("c5_impute_knn_no_complete_column", knn_imputed_sql(GAPS, GAPS), GAPS)
+def q_c5_gaps(spark, sf_dir):
+    return clean.handle_missing_values(measurements_clean(spark, sf_dir).select(ROW_ID, *GAPS), "knn", n_neighbors=5, features=GAPS)
 
 
 # ------------------------------------------------------------------ planted rule: compared rows for every model
