@@ -17,11 +17,12 @@ Distributed and deterministic:
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quench.functions.constants import LABEL, ROW_ID, SEED
@@ -74,7 +75,7 @@ class IsolationForestModel:
         self.psi = psi
         self.n_trees = n_trees
         self.threshold = threshold
-        nodes = nodes.sort_values(["tree", "node"])
+        self.nodes = nodes = nodes.sort_values(["tree", "node"])
         width = int(nodes.groupby("tree").size().max())
         shape = (n_trees, width)
         self.feat = np.full(shape, -1, dtype=np.int32)
@@ -90,6 +91,19 @@ class IsolationForestModel:
         # path length if the walk ends at this node: depth + c(size)
         self.leaf_len[t, n] = nodes["depth"].to_numpy() + np.array([c_factor(s) for s in nodes["size"].to_numpy()])
 
+    def save(self, path: str) -> None:
+        """The node table as Parquet and what scoring needs beside it as one line of text."""
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame(self.nodes, NODE_SCHEMA).write.mode("overwrite").parquet(f"{path}/nodes")  # at most T * (2 psi - 1) rows
+        meta = {"kind": "isolation forest", "features": self.features, "psi": self.psi, "trees": self.n_trees, "threshold": self.threshold}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @classmethod
+    def load(cls, path: str) -> "IsolationForestModel":
+        spark = SparkSession.getActiveSession()
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        return cls(meta["features"], spark.read.parquet(f"{path}/nodes").toPandas(), meta["psi"], meta["trees"], meta["threshold"])
+
     def path_lengths(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(x.shape[0])
         rows = np.arange(x.shape[0])

@@ -23,12 +23,13 @@ smaller leaves, so clustered and even data cost about the same.
 
 from __future__ import annotations
 
+import json
 import logging
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quench.functions.constants import LABEL, ROW_ID
@@ -243,6 +244,26 @@ class KNNClassifier:
         self.y = rows["_y"].to_numpy(dtype=float)
         return self
 
+    def save(self, path: str) -> None:
+        """The training block (at most ``max_train_rows`` rows) as Parquet and the settings as one line of text."""
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(i, x.tolist(), float(y)) for i, (x, y) in enumerate(zip(self.x, self.y))],
+                              "i bigint, x array<double>, y double").write.mode("overwrite").parquet(f"{path}/rows")
+        meta = {"kind": "nearest neighbours", "features": self.features, "label": self.label, "key": self.key, "k": self.k,
+                "max_train_rows": self.max_train_rows, "block": self.block}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @classmethod
+    def load(cls, path: str) -> "KNNClassifier":
+        spark = SparkSession.getActiveSession()
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        out = cls(meta["k"], meta["max_train_rows"], meta["block"])
+        out.features, out.label, out.key = meta["features"], meta["label"], meta["key"]
+        rows = spark.read.parquet(f"{path}/rows").orderBy("i").collect()
+        out.x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(out.features))
+        out.y = np.array([r["y"] for r in rows], float)
+        return out
+
     def votes(self, q: np.ndarray) -> np.ndarray:
         """Share of class 1 among the k nearest training rows of each row of ``q``."""
         out = np.full(len(q), np.nan)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quench.functions.constants import DERIVED_FEATURES, FEATURES, LABEL, ROW_ID
 from quench.operators import clean, profile
 from quench.operators.features import create_derived_features
-from quench.plans.catalog import register
+from quench.plans.registry import register
 from quench.plans.sqltext import FEATURE_LIST, with_ctes
 from quench.plans.sqltext_features import derived_sql, filled, imputed_cte, mean_cte, median_cte
 from quench.sources.fixtures import measurements_clean, measurements_with_duplicates

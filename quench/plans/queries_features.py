@@ -8,7 +8,7 @@ from quench.functions.constants import DERIVED_FEATURES, FEATURES, LABEL, ROW_ID
 from quench.operators import features as feat
 from quench.operators.scale import fit_scaler, scale_features
 from quench.operators.split import split_data, split_data_with_validation, train_test
-from quench.plans.catalog import register
+from quench.plans.registry import register
 from quench.plans.common import ENGINEERED, engineered, imputed
 from quench.plans.sqltext import bits_sql, gauss_sql, with_ctes
 from quench.plans.sqltext_features import derived_sql, imputed_cte, interaction_sql

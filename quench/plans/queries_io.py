@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quench.functions.constants import FEATURES, LABEL, ROW_ID
 from quench.plans import tracking
-from quench.plans.catalog import register
+from quench.plans.registry import register
 from quench.plans.sqltext import FEATURE_LIST, with_ctes
 from quench.session import scratch_path
 from quench.sources import io
@@ -68,19 +68,38 @@ def q_e8(spark, sf_dir):
 
 
 @register("e10_pipeline_summary", with_ctes(
-    "SELECT count(*) AS raw_records, (SELECT count(*) FROM (SELECT DISTINCT {f}, Potability FROM measurements)) AS cleaned_records, "
-    "count(*) - (SELECT count(*) FROM (SELECT DISTINCT {f}, Potability FROM measurements)) AS removed_records, "
-    "9 AS raw_features, 20 AS engineered_features FROM measurements".format(f=FEATURE_LIST)))
+    "SELECT r.n AS raw_records, c.n AS cleaned_records, r.n - c.n AS removed_records, 9 AS raw_features, 20 AS engineered_features, "
+    "CAST(c.n - t.n AS BIGINT) AS train_rows, CAST(t.n AS BIGINT) AS test_rows "
+    "FROM (SELECT count(*) AS n FROM measurements) AS r, (SELECT count(*) AS n FROM cl) AS c, "
+    "(SELECT sum(round(n * 0.2)) AS n FROM (SELECT count(*) AS n FROM cl GROUP BY Potability)) AS t",
+    extra=f"cl AS (SELECT DISTINCT {FEATURE_LIST}, Potability FROM measurements)"))
 def q_e10(spark, sf_dir):
-    from quench.operators import clean
-    from quench.operators.split import split_data, train_test
-    from quench.plans.experiments import pipeline_summary
-
-    raw = measurements_clean(spark, sf_dir)
-    cleaned = clean.remove_duplicates(raw).checkpoint(eager=True)
-    train, test = train_test(split_data(cleaned))
-    return pipeline_summary(spark, raw, cleaned, train, test, {}).select(
-        "raw_records", "cleaned_records", "removed_records", "raw_features", "engineered_features")
+    from quench.plans.experiments import pipeline_summary, prepare_run
+
+    run = prepare_run(spark, measurements_clean(spark, sf_dir), scratch_path(spark, "summarised-run"))
+    return pipeline_summary(spark, run["counts"], {}).drop("baseline_accuracy", "baseline_recall", "baseline_f1")
+
+
+def _modes(spark, sf_dir, mode: str, read: str):
+    folder, name = scratch_path(spark, "modes"), f"measurements_{uuid.uuid4().hex[:8]}"
+    io.save_with_mode(measurements_clean(spark, sf_dir).select(*FEATURES, LABEL), folder, name, mode, fmt="csv")
+    return io.load_with_mode(spark, folder, name, read).select(*FEATURES, LABEL)
+
+
+@register("s6_s7_local_mode", _COLS, FEATURES)
+def q_s6_local(spark, sf_dir):
+    """Files only; a read that asks for the table falls back to them."""
+    return _modes(spark, sf_dir, "LOCAL", "DB")
+
+
+@register("s6_s7_db_mode", _COLS, FEATURES)
+def q_s6_db(spark, sf_dir):
+    return _modes(spark, sf_dir, "DB", "DB")
+
+
+@register("s6_s7_both_modes", _COLS, FEATURES)
+def q_s6_both(spark, sf_dir):
+    return _modes(spark, sf_dir, "BOTH", "BOTH")
 
 
 @register("s2_row_ids_through_table", with_ctes("SELECT row_id, Potability FROM measurements"))

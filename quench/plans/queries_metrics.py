@@ -10,7 +10,7 @@ from quench.functions.constants import FEATURES, LABEL, NOISE_LEVELS, ROW_ID, ST
 from quench.functions.hashing import hash_gauss
 from quench.operators import clean, metrics, ranking, stats
 from quench.operators.split import split_data, train_test
-from quench.plans.catalog import register
+from quench.plans.registry import register
 from quench.plans.common import ENGINEERED, importance, imputed
 from quench.plans.queries_features import ENG_CTE, SPLIT_CTE
 from quench.plans.sqltext import MEASUREMENTS_CTE, gauss_sql, with_ctes

@@ -16,7 +16,7 @@ from quench.operators.iforest import fit_isolation_forest
 from quench.operators.models import make_model
 from quench.operators.scale import fit_scaler
 from quench.operators.split import split_data, train_test
-from quench.plans.catalog import register
+from quench.plans.registry import register
 from quench.plans.common import ENGINEERED, engineered
 from quench.plans.queries_features import split_cte
 from quench.plans.sqltext import MEASUREMENTS_CTE, bits_sql

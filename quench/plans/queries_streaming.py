@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from quench.plans.catalog import register
+from quench.plans.registry import register
 from quench.sources.fixtures import table
 from quench.streaming import monitor
 

@@ -13,11 +13,16 @@ import logging
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
+#: What a store that is missing, full or closed raises; anything else is a fault of ours and surfaces.
+_FAILURES = (AnalysisException, Py4JJavaError, OSError)
+
 EVENT_SCHEMA = ("id string, experiment_name string, research_question string, description string, "
                 "parameters string, status string, event_seq bigint")
 
@@ -38,7 +43,7 @@ def create_experiment(spark: SparkSession, path: str, name: str, research_questi
         _append(spark, path, (exp_id, name, research_question, description, json.dumps(parameters or {}),
                               "running", time.time_ns()))
         return exp_id
-    except Exception as e:  # noqa: BLE001
+    except _FAILURES as e:
         log.warning("experiment not recorded: %s", e)
         return None
 
@@ -49,7 +54,7 @@ def complete_experiment(spark: SparkSession, path: str, exp_id: str | None, stat
         return
     try:
         _append(spark, path, (exp_id, None, None, None, None, status, time.time_ns()))
-    except Exception as e:  # noqa: BLE001
+    except _FAILURES as e:
         log.warning("experiment %s not completed: %s", exp_id, e)
 
 
@@ -80,8 +85,9 @@ def save_metrics(spark: SparkSession, path: str, exp_id: str | None, metrics: Da
         cols = [F.col(c) if c in m.columns else F.lit(None).cast("string" if c in ("model_name", "strategy")
                                                                  else "double").alias(c) for c in METRIC_COLUMNS]
         out = m.select(F.lit(exp_id).alias("experiment_id"), *cols, F.current_timestamp().alias("created_at"))
+        out = out.checkpoint(eager=True)  # computed once, for the write and the count
         out.write.mode("append").parquet(path)
         return out.count()
-    except Exception as e:  # noqa: BLE001
+    except _FAILURES as e:
         log.warning("metrics not saved: %s", e)
         return 0

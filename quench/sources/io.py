@@ -7,6 +7,7 @@ shared by the count and the write.
 
 from __future__ import annotations
 
+import json
 import logging
 import os
 
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quench.functions.constants import FEATURES, LABEL
+from quench.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -76,13 +78,16 @@ def save_table(df: DataFrame, table_name: str, mode: str = "append", jdbc_url: s
     """Replace (overwrite) or append; returns the number of rows written."""
     if mode == "replace":
         mode = "overwrite"
+    spark = df.sparkSession
     if jdbc_url:
-        n = df.count()
+        # computed once into files, which are counted by their footers and then sent
+        path = scratch_path(spark, "jdbc-out")
+        df.write.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
         props = dict(properties or {})
         props.setdefault("batchsize", "1000")
-        df.write.mode(mode).jdbc(jdbc_url, table_name, properties=props)
-        return int(n)
-    spark = df.sparkSession
+        out.write.mode(mode).jdbc(jdbc_url, table_name, properties=props)
+        return out.count()
     # counted from the table's own files (their footers), before and after an append
     before = spark.table(table_name).count() if mode == "append" and spark.catalog.tableExists(table_name) else 0
     df.write.mode(mode).saveAsTable(table_name)
@@ -185,7 +190,12 @@ def save_model(model, path: str) -> None:
 
 
 def load_model(path: str):
-    """The saved classifier, ready to predict."""
+    """The saved model of any kind, ready to predict."""
+    from quench.operators.deepforest import DeepForest
+    from quench.operators.iforest import IsolationForestModel
+    from quench.operators.knn import KNNClassifier
     from quench.operators.models import SparkClassifier
 
-    return SparkClassifier.load(path)
+    meta = json.loads(SparkSession.getActiveSession().read.text(f"{path}/meta").first()[0])
+    kinds = {"deep forest": DeepForest, "isolation forest": IsolationForestModel, "nearest neighbours": KNNClassifier}
+    return kinds.get(meta.get("kind"), SparkClassifier).load(path)

@@ -4,6 +4,7 @@ experiment composites (E1-E6, E10-E12) run end to end on sf0.001.
 Boosted trees use a light configuration here (5 rounds, depth 3) so the suite
 stays fast; the operators take the estimator factory as a parameter."""
 
+import os
 import tempfile
 
 import pytest
@@ -41,11 +42,12 @@ def test_bakeoff_cv_tuning_importance(spark):
     cv = models.perform_cross_validation(train, FEATS, names=["Naive Bayes"], k=3).first()
     assert cv["min_cv_accuracy"] <= cv["mean_cv_accuracy"] <= cv["max_cv_accuracy"]
     assert models.choose_model_to_tune(base) in ("Random Forest", "Gradient Boosting", "XGBoost")
-    est_model, params, score = models.hyperparameter_tuning(
+    tuned = models.hyperparameter_tuning(
         train, FEATS, "Logistic Regression", k=3,
         grid_override=lambda est: [{est.regParam: 0.01, est.elasticNetParam: 0.0},
                                    {est.regParam: 0.1, est.elasticNetParam: 1.0}])
-    assert 0.0 <= score <= 1.0 and "regParam" in params
+    assert 0.0 <= tuned.accuracy <= 1.0 and "regParam" in tuned.params and len(tuned.fold_accuracy) == 3
+    assert abs(max(tuned.avg_accuracy) - tuned.accuracy) < 0.01 and "prediction" in tuned.model.transform(test).columns
     dt = make_model("Decision Tree", train.count()).fit(train, FEATS)
     imp = models.feature_importance_df(dt, spark, top_n=15).collect()
     assert len(imp) <= 15 and imp[0]["importance"] >= imp[-1]["importance"]
@@ -67,18 +69,68 @@ def test_run_all_experiments(spark):
     out = tempfile.mkdtemp(prefix="quench-rq-")
     res = X.run_all_experiments(spark, raw, out, factory=light)
     rq1 = res["rq1"].collect()
-    assert [r["strategy"] for r in rq1] == ["median", "mean", "knn"]
+    assert sorted(r["strategy"] for r in rq1) == ["knn", "mean", "median"]
     assert all(0 <= r["accuracy"] <= 1 and r["stability_score"] <= 1 for r in rq1)
     assert {r["approach"] for r in res["rq2"].collect()} == {"raw_features", "derived_features"}
     c = res["rq3_correlation"].first()
     assert -1 <= c["pearson_correlation"] <= 1 and 0 <= c["pearson_p_value"] <= 1
-    assert [r["quartile"] for r in res["rq3_quartile"].collect()] == ["Q1_Low", "Q2", "Q3", "Q4_High"]
+    assert sorted(r["quartile"] for r in res["rq3_quartile"].collect()) == ["Q1_Low", "Q2", "Q3", "Q4_High"]
     rq4 = res["rq4"].orderBy("noise_level").collect()
     assert len(rq4) == 5 and rq4[0]["accuracy_degradation"] == 0.0
     assert res["rq5_alignment"].count() == 6
-    ver = X.verify_outputs(spark, {k: f"{out}/{k}" for k in res}).collect()
-    assert all(r["exists"] for r in ver)
+    made = {d[: d.rindex("-")]: f"{out}/stages/{d}/data" for d in os.listdir(f"{out}/stages")}
+    ver = X.verify_outputs(spark, made | {"none": f"{out}/none"}).collect()
+    assert [r["output"] for r in ver if not r["exists"]] == ["none"] and len(ver) == len(res) + 1
     train, test = prepared(spark, SF_SMALL)
     base = X.baseline_stage(train, test, FEATS, tempfile.mkdtemp(prefix="quench-base-") + "/m", factory=light)
-    summ = X.pipeline_summary(spark, raw, raw.dropDuplicates(FEATURES + [LABEL]), train, test, base).first()
-    assert summ["train_rows"] + summ["test_rows"] == raw.count()
+    run = X.prepare_run(spark, raw, tempfile.mkdtemp(prefix="quench-prep-") + "/run")
+    summ = X.pipeline_summary(spark, run["counts"], base).first()
+    assert summ["train_rows"] + summ["test_rows"] == raw.count() == run["train"].count() + run["test"].count()
+    assert summ["removed_records"] == 0 and summ["baseline_accuracy"] == base["accuracy"]
+    # a second run reads every stage back; a changed setting redoes only the stages that depend on it
+    assert all(r["made"] for r in res["stages"].collect())
+    again = X.run_all_experiments(spark, raw, out, factory=None)
+    assert not any(r["made"] for r in again["stages"].collect())
+    assert sorted(map(tuple, again["rq1"].collect())) == sorted(map(tuple, res["rq1"].collect()))
+    state = X.tracking.experiment_state(spark, f"{out}/events").collect()
+    assert sorted((r["experiment_name"], r["status"]) for r in state) == [(n, "completed") for n in ("rq1", "rq2", "rq4")]
+    assert spark.read.parquet(f"{out}/metrics").count() == 3 + 2 + 5
+
+
+def test_stages_redo_what_changed(spark):
+    from quench.plans.stages import Stages, source_key
+
+    root = tempfile.mkdtemp(prefix="quench-stages-")
+    spark.range(5).write.parquet(f"{root}/a")
+    calls = []
+
+    def run(factor, stop=False):
+        stages = Stages(spark, f"{root}/s")
+        first = stages.run("first", lambda: calls.append("first") or spark.read.parquet(f"{root}/a"), [source_key(spark.read.parquet(f"{root}/a"))])
+
+        def second():
+            calls.append("second")
+            if stop:
+                raise RuntimeError("lost")
+            return first.data.selectExpr(f"id * {factor} AS id")
+
+        return stages.run("second", second, [first.key], factor=factor)
+
+    assert run(2).rows == 5 and calls == ["first", "second"]
+    assert not run(2).made and calls == ["first", "second"]
+    with pytest.raises(RuntimeError):
+        run(3, stop=True)
+    assert run(3).data.agg({"id": "sum"}).first()[0] == 30 and calls == ["first", "second", "second", "second"]
+    spark.range(7).write.mode("overwrite").parquet(f"{root}/a")
+    assert run(3).rows == 7 and calls[-2:] == ["first", "second"]
+
+
+def test_failed_experiment_is_recorded(spark):
+    folder = tempfile.mkdtemp(prefix="quench-tracked-")
+
+    def fail():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        X.tracked(spark, folder, "rq", "q", {}, fail)
+    assert X.tracking.experiment_state(spark, f"{folder}/events").first()["status"] == "failed"
