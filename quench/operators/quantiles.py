@@ -6,12 +6,12 @@ distinct value into a single task per group; at 100 TB that is the whole
 column. Here, for each wanted rank ``r`` (0-based, ascending, NULLs skipped):
 
 1. n = count(col) per column (one aggregate pass over all columns).
-2. While a bracket of rows around a rank is large, ``percentile_approx`` (a
-   sketch of ``accuracy`` entries, so a few KB a map task) proposes values
-   a <= v_r <= b; one aggregate of ``count_if`` verifies below(a) <= r < upto(b)
-   and widens a side to the old bound when it does not hold. A pass shrinks a
-   bracket about ``accuracy / 4`` times, unless copies of one value fill it,
-   and those collapse below.
+2. While a bracket of rows around a rank is large, one pass builds a KLL sketch of
+   each bracket (a few tens of KB a map task; all ranks of a column share the first)
+   and takes values a <= v_r <= b from it, ``SLACK`` in rank to either side; one
+   aggregate of ``count_if`` verifies below(a) <= r < upto(b) and keeps the old
+   bound on a side where it does not hold. A pass shrinks a bracket about
+   ``1 / (2 SLACK)`` times, unless copies of one value fill it, and those collapse below.
 3. One scan tags each row with the brackets its value falls in, rows are
    grouped by (bracket, value) -- duplicates collapse, so a value held by a
    third of all rows is one row -- and a window per bracket (about
@@ -31,7 +31,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 1_000
+#: Size parameter of the sketches (their rank error is about 0.13 %) and the rank taken beyond a wanted one.
+ACCURACY = 4_000
+SLACK = 0.004
 MAX_BRACKET = 100_000
 
 
@@ -55,32 +57,29 @@ def _in_bracket(c, b: _Bracket):
 
 
 def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int, max_bracket: int) -> list[_Bracket]:
-    """Split big brackets into one per rank and shrink each by approximate quantiles."""
+    """Split big brackets into one for each pair of ranks and shrink each by approximate quantiles."""
     out: list[_Bracket] = []
     work: list[_Bracket] = []
     for b in brackets:
         if b.size <= max_bracket:
             out.append(b)
         else:
-            for r in b.ranks:
-                work.append(_Bracket(b.col, b.lo, b.hi, b.below, b.size, [r]))
+            for r in b.ranks:  # the two ranks of an interpolation stay together
+                if work and work[-1].col == b.col and work[-1].ranks[-1] == r - 1:
+                    work[-1].ranks.append(r)
+                else:
+                    work.append(_Bracket(b.col, b.lo, b.hi, b.below, b.size, [r]))
     while work:
-        # one approximate pass for all big brackets: percentile_approx over rows in each bracket
+        # one pass for all big brackets: a sketch a bracket (ranks in the same bracket share it) proposes bounds for every rank
         aggs = []
-        plan = []
         for i, b in enumerate(work):
-            r = b.ranks[0] - b.below
-            slack = 2.0 * b.size / accuracy + 2
-            probs = [min(1.0, max(0.0, (r - slack) / max(b.size - 1, 1))),
-                     min(1.0, max(0.0, (r + slack) / max(b.size - 1, 1)))]
-            c = F.col(b.col)
-            aggs.append(F.percentile_approx(F.when(_in_bracket(c, b), c), probs, accuracy).alias(f"q{i}"))
-            plan.append(b)
+            c = F.col(b.col).cast("double")
+            sketch = F.kll_sketch_agg_double(F.when(_in_bracket(c, b), c), F.lit(accuracy))
+            for side, r, slack in (("lo", b.ranks[0], -SLACK), ("hi", b.ranks[-1], SLACK)):
+                share = min(1.0, max(0.0, (r - b.below) / max(b.size - 1, 1) + slack))
+                aggs.append(F.kll_sketch_get_quantile_double(sketch, F.lit(share)).alias(f"{side}{i}"))
         row = df.agg(*aggs).first()
-        cand = []
-        for i, b in enumerate(plan):
-            a_val, b_val = row[f"q{i}"]
-            cand.append((b, float(a_val), float(b_val)))
+        cand = [(b, row[f"lo{i}"], row[f"hi{i}"]) for i, b in enumerate(work)]
         # verify the candidate bounds exactly
         checks = []
         for i, (b, a_val, b_val) in enumerate(cand):
@@ -90,11 +89,10 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int, max_bracket:
         crow = df.agg(*checks).first()
         nxt = []
         for i, (b, a_val, b_val) in enumerate(cand):
-            r = b.ranks[0]
             lt, le = crow[f"lt{i}"], crow[f"le{i}"]
-            lo, below = (a_val, lt) if lt <= r else (b.lo, b.below)
-            hi, upto = (b_val, le) if le > r else (b.hi, b.below + b.size)
-            nb = _Bracket(b.col, lo, hi, below, upto - below, [r])
+            lo, below = (a_val, lt) if lt <= b.ranks[0] else (b.lo, b.below)
+            hi, upto = (b_val, le) if le > b.ranks[-1] else (b.hi, b.below + b.size)
+            nb = _Bracket(b.col, lo, hi, below, upto - below, b.ranks)
             if nb.size <= max_bracket or nb.size >= b.size:
                 out.append(nb)
             else:
