@@ -9,9 +9,10 @@ pages, the tokens under it are boilerplate. A longer repeat is covered by its wi
 that length, so the depth loses nothing.
 
 A block is dropped if it lies in page furniture (menus, headers, footers, sidebars,
-forms, adverts, notices, comments, by element or by class, id or role). Inside an article or
-main element only whole names of clear furniture count, never the id of a heading, and an
-element around one is not furniture because of a word in its names. On a page with an
+forms, adverts, notices, comments, by element or by class, id or role). A class or id counts
+only if it is such a name as a whole (``comments-section``, ``site-header``; not ``related-work`` or
+``entry-header``), inside an article or main element only if it is one anywhere, and never as the id of a
+heading; an element around an article is not furniture because of a name. On a page with an
 article or main element the blocks inside it are the text, but for those under substrings that
 ``ARTICLE_SHARE`` of the group's pages have (subscribe lines, share prompts); passages that fewer
 articles share are theirs and stay, and an article that would lose most of its words is a copy and
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -55,26 +57,38 @@ _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code
            "u", "var", "wbr"}
 _FURNITURE = {"nav", "footer", "aside", "form", "head", "menu", "button", "dialog"}
 _CONTENT = {"article", "main"}
-_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies", "consent", "notice",
-          "notices", "nav", "navbar", "navigation", "menu", "sidebar", "footer", "header", "masthead", "breadcrumb", "breadcrumbs", "comment",
-          "comments", "disqus", "replies", "respond", "related", "share", "sharing", "social", "subscribe", "newsletter", "popup", "modal",
-          "pagination", "complementary", "contentinfo", "search", "widget"}
 _OPTIONAL_END = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 
 
-#: Inside an article or main element only these count: whole class tokens, ids and roles that name nothing an author writes.
+#: Words that name furniture anywhere, outside an article too, and what may follow them in a name (``comments-section``).
 _CLEAR = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "sidebar", "breadcrumb",
-          "breadcrumbs", "comments", "disqus", "related", "share", "sharing", "social", "subscribe", "newsletter", "popup", "modal", "pagination",
-          "ad-slot", "ad-container", "cookie-notice", "cookie-banner", "share-buttons", "social-share", "related-posts", "related-articles",
-          "newsletter-signup", "comment-list", "comments-area"}
-_CLEAR_IDS = {"comments", "disqus", "disqus_thread", "respond"}
+          "breadcrumbs", "comment", "comments", "disqus", "related", "share", "sharing", "social", "subscribe", "newsletter", "popup", "modal",
+          "pagination", "cookie", "cookies", "consent", "respond", "replies"}
+_OUTSIDE = {"header", "footer", "masthead", "menu", "banner", "notice", "notices", "search", "widget", "widgets", "contentinfo", "complementary"}
+_PARTS = {"area", "articles", "bar", "block", "box", "buttons", "container", "form", "icons", "inner", "items", "link", "links", "list", "outer", "panel",
+          "posts", "section", "signup", "slot", "thread", "top", "bottom", "wrap", "wrapper", "banner", "notice", "widget", "menu", "message", "overlay"}
+_PLACES = {"site", "page", "main", "top", "bottom", "global", "left", "right", "mobile", "primary", "secondary"}
+#: Names that end in these are furniture whatever comes before, but for ``no-sidebar`` and the like.
+_LAST = {"ads", "advert", "adverts", "breadcrumbs", "comments", "navbar", "navigation", "newsletter", "pagination", "sidebar"}
+_FLAGS = {"no", "has", "with", "without", "hide", "show"}
 _CLEAR_ROLES = {"navigation", "complementary", "contentinfo", "search"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _NONE, _LOOSE, _CLEARLY, _BY_TAG = range(4)
 
 
+def _names_furniture(name: str, outside: bool) -> bool:
+    """Whether a class token or id is a name of furniture as a whole; a word inside a longer name is not enough."""
+    parts = [p for p in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if p]
+    if not parts or parts[0] in _FLAGS:
+        return False
+    words = _CLEAR | _OUTSIDE if outside else _CLEAR
+    if outside and len(parts) > 1 and parts[0] in _PLACES:
+        parts = parts[1:]
+    return parts[-1] in _LAST or (parts[0] in words and all(p in words or p in _PARTS for p in parts[1:]))
+
+
 def _kind(tag: str, attributes: str, in_content: bool) -> int:
-    """How surely an element is furniture: by its tag, by a whole clear name, by a word in its names, or not."""
+    """How surely an element is furniture: by its tag, by a name that is one anywhere, by one that is outside articles, or not."""
     if tag == "form":
         return _LOOSE
     if tag in _FURNITURE or (tag == "header" and not in_content):
@@ -83,11 +97,18 @@ def _kind(tag: str, attributes: str, in_content: bool) -> int:
         return _NONE
     kind = _NONE
     for attribute, *values in _ATTRIBUTE.findall(attributes):
-        value, attribute = "".join(values), attribute.lower()
-        clear = _CLEAR if attribute == "class" else _CLEAR_ROLES if attribute == "role" else _CLEAR_IDS
-        if not clear.isdisjoint(value.lower().split()) and not (in_content and attribute == "id" and tag in _HEADINGS):
+        names, attribute = "".join(values).split(), attribute.lower()
+        if tag in _INLINE:
+            names = [n for n in names if n.lower() != "comment"]  # a piece of code, not a reader's comment
+        if tag in _HEADINGS and attribute == "id":
+            continue  # an anchor
+        if attribute == "role":
+            clear = not _CLEAR_ROLES.isdisjoint(n.lower() for n in names)
+        else:
+            clear = any(_names_furniture(n, False) for n in names)
+        if clear:
             return _CLEARLY
-        if not in_content and not _NAMES.isdisjoint(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
+        if not in_content and any(_names_furniture(n, True) for n in names):
             kind = _LOOSE
     return kind
 
@@ -109,10 +130,14 @@ class _Element:
     def within(self, total: int) -> bool:
         """Whether it or an element around it is furniture. A wrapper of an article or main element is none by a word in
         its names, and by a clear name only if the page has others (``total`` in all) and it holds no main element."""
-        if self.furniture is None:
-            own = (self.kind == _BY_TAG or (self.kind == _LOOSE and not self.holds)
-                   or (self.kind == _CLEARLY and not self.main and (not self.holds or self.holds < total)))
-            self.furniture = own or (self.parent is not None and self.parent.within(total))
+        chain, at = [], self
+        while at is not None and at.furniture is None:  # pages may nest without end: no recursion
+            chain.append(at)
+            at = at.parent
+        around = at is not None and at.furniture
+        for e in reversed(chain):
+            around = e.furniture = (around or e.kind == _BY_TAG or (e.kind == _LOOSE and not e.holds)
+                                    or (e.kind == _CLEARLY and not e.main and (not e.holds or e.holds < total)))
         return self.furniture
 
 
@@ -121,6 +146,7 @@ def parse(page: str) -> list[tuple[str, str, bool, bool]]:
     blocks: list[tuple[str, str, _Element]] = []
     root = _Element("", _NONE, None)
     stack: list[_Element] = []
+    opened: Counter[str] = Counter()  # names on the stack
     run: list[str] = []
     tag_of = "body"
 
@@ -130,6 +156,11 @@ def parse(page: str) -> list[tuple[str, str, bool, bool]]:
         if text:
             blocks.append((tag_of, text, stack[-1] if stack else root))
 
+    def pop() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        return name
+
     for m in _TOKEN.finditer(page):
         name = m.group(3)
         if name is None:
@@ -142,24 +173,25 @@ def parse(page: str) -> list[tuple[str, str, bool, bool]]:
         if name in _INLINE and (closing or name in _VOID or not _kind(name, m.group(4), parent.content)):
             if name == "br":
                 run.append(" ")
-            elif closing and any(s.name == name for s in stack):  # an inline element that was opened as furniture
+            elif closing and opened[name]:  # an inline element that was opened as furniture
                 flush()
-                while stack and stack.pop().name != name:
+                while pop() != name:
                     pass
             continue
         flush()
         if closing:
-            if any(s.name == name for s in stack):
-                while stack.pop().name != name:
+            if opened[name]:
+                while pop() != name:
                     pass
             tag_of = stack[-1].name if stack else "body"
         else:
             if name in _OPTIONAL_END and stack and stack[-1].name == name:
-                stack.pop()
+                pop()
                 parent = stack[-1] if stack else root
             tag_of = name
             if name not in _VOID and not m.group(4).endswith("/"):
                 stack.append(_Element(name, _kind(name, m.group(4), parent.content), parent))
+                opened[name] += 1
     flush()
     return [(tag, text, e.within(root.holds), e.content) for tag, text, e in blocks]
 
