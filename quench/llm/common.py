@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quench.session import scratch_path
 
@@ -30,6 +34,32 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[col(c) for c in df.columns])
 
 
+def text_rows(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> tuple[DataFrame, int | None]:
+    """``id`` and the text for a Python stage, and ``row`` with ``carry``; a text inside ``row`` is not sent twice:
+    the number is its place there (None: it is the column ``text``)."""
+    own = [col(id_col).alias("id"), *([whole_row(docs).alias("row")] if carry else [])]
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    if carry and kinds.get(text_col) == T.StringType():
+        return docs.select(*own), docs.columns.index(text_col)
+    return docs.select(*own, text_of(text_col).alias("text")), None
+
+
+def texts(batch: pa.RecordBatch, place: int | None) -> list[str]:
+    """The batch's texts; null counts as empty."""
+    column = batch.column(batch.schema.get_field_index("text" if place is None else "row"))
+    return [t.as_py() or "" for t in (column if place is None else column.field(place))]
+
+
+_IN_USE: dict[str, Callable[[], None]] = {}
+
+
+def sole_cache(owner: str, clear: Callable[[], None]) -> None:
+    """Frees what other operators' tasks have cached in this worker process, which outlives their stages."""
+    for other in [o for o in _IN_USE if o != owner]:
+        _IN_USE.pop(other)()
+    _IN_USE[owner] = clear
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: later uses neither recompute it
     nor depend on files that only a lost executor held."""

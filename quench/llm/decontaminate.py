@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quench.llm.common import BROADCAST_BYTES, col, materialise, text_of, whole_row
+from quench.llm.common import BROADCAST_BYTES, col, materialise, sole_cache, text_of, text_rows, texts
 
 WINDOW = 10
 K = 5
@@ -144,17 +144,18 @@ def candidates(words: list[bytes], bitmap: np.ndarray, short: list[int], window:
 
 def scan(docs: DataFrame, id_col: str, text_col: str, bitmap: np.ndarray, short: list[int], window: int, k: int, carry: bool) -> DataFrame:
     """``id, n_words, cand`` (candidate windows, each distinct one with its starts) and ``row`` with ``carry``."""
-    source = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"), *([whole_row(docs).alias("row")] if carry else []))
+    source, place = text_rows(docs, id_col, text_col, carry)
     kept = [c for c in source.columns if c != "text"]
     cand_type = pa.list_(pa.struct([("fp", pa.int64()), ("len", pa.int32()), ("text", pa.string()), ("starts", pa.list_(pa.int32()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("decontaminate", _CACHE.clear)
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
                 b = whole.slice(at, _ROWS)
                 n_words, cand = [], []
-                for text in b.column("text"):
-                    words = words_of(text.as_py())
+                for text in texts(b, place):
+                    words = words_of(text)
                     n_words.append(len(words))
                     found: dict[tuple, list[int]] = {}
                     for s, n, fp in candidates(words, bitmap, short, window, k):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quench.llm.common import col, materialise, text_of, whole_row
+from quench.llm.common import materialise, text_rows, texts
 
 SHINGLE = 3
 RADIUS = 2
@@ -62,12 +62,12 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED,
                  carry: bool = False) -> DataFrame:
     """``id, fp`` (the fingerprint's bits as a signed long) per row, and ``row`` with ``carry``."""
-    source = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"), *([whole_row(docs).alias("row")] if carry else []))
+    source, place = text_rows(docs, id_col, text_col, carry)
     kept = [c for c in source.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in b.column("text")), np.uint64, b.num_rows)
+            fp = np.fromiter((fingerprint(t, shingle, seed) for t in texts(b, place)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(fp.view(np.int64))], [*kept, "fp"])
 
     schema = source.drop("text").withColumn("fp", F.lit(0).cast("long")).schema

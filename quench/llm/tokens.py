@@ -5,7 +5,8 @@ ends a piece. Texts are therefore cut before those and the ids of each unit are
 cached (bounded) as little-endian unsigned 32-bit bytes; new units are cut further
 into pre-token pieces where that is safe, and the tokenizers library encodes each
 new piece once while the piece cache holds it. A text in which a space or line break
-touches other white space (where cutting could change pre-tokens) is encoded whole.
+touches other white space (where cutting could change pre-tokens), or that holds the string of
+an added token such as ``<|endoftext|>`` (which the library gives its own id), is encoded whole.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import re
 
 import numpy as np
 
+from quench.llm.common import sole_cache
+
 _LETTERS = r"A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: Texts of these characters have one-to-one lower case and no composing marks.
 _SAFE = re.compile(rf"[\x00-\x7f{_LETTERS}]*")
@@ -41,7 +44,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind, self.most_units, self.most_pieces = kind, units, pieces
         self.units: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -85,6 +88,8 @@ class Encoder:
         return "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] == " "
 
     def encode(self, text: str) -> bytes:
+        if any(t in text for t in self.added):  # they cut a text anywhere
+            return self._library([text])[0]
         if self.kind == "word":
             parts, head = text.replace("\n", " ").split(" "), b""
         elif self._runs(text):
@@ -110,6 +115,7 @@ _LOADED: dict[tuple, Encoder] = {}
 
 def encoder(path: str | None, kind: str) -> Encoder:
     """This process's encoder for a vocabulary file; None: the public file of that kind."""
+    sole_cache("tokens", _LOADED.clear)
     key = (path, kind)
     if key not in _LOADED:
         if path is None:

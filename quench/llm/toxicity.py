@@ -37,20 +37,24 @@ import zstandard as Z
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quench.llm.common import col, fold, text_of, whole_row
+from quench.llm.common import col, fold, sole_cache, text_of, text_rows, texts
 
 SAMPLE = 3000
 SAMPLE_CHARS = 20_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 GRAM = 5
-#: A gram is hot if its share of the words of toxic documents is this many times that of ordinary ones.
-HOT = 8
+#: A gram is hot if its share of the words of toxic documents is so many times that of ordinary ones; which of
+#: these ratios is used is chosen by cross-fitting inside the training rows.
+HOT = (2, 4, 8, 16)
 ORDINARY_BYTES, TOXIC_BYTES = 32768, 4096
 _PAD = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ#%&=+<>[]{}~^_|`@!0123456789"
 _WINDOW, _STEP = 48, 36
-_CACHE_MAX = 1_000_000
+_CACHE_MAX = 400_000
 _LIMITS = (3, 4, 6)
+PARAMETERS = Z.ZstdCompressionParameters(
+    format=Z.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False, strategy=Z.STRATEGY_LAZY,
+    min_match=5, window_log=17, hash_log=16, chain_log=16, search_log=6, target_length=64)
 
 
 def windows(text: str) -> list[bytes]:
@@ -67,11 +71,8 @@ class Distance:
     """Window distances: length with the ordinary dictionary minus length with the toxic one."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        params = Z.ZstdCompressionParameters(
-            format=Z.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False, strategy=Z.STRATEGY_LAZY,
-            min_match=5, window_log=17, hash_log=16, chain_log=16, search_log=6, target_length=64)
         self._size = [Z.ZstdCompressor(dict_data=Z.ZstdCompressionDict(raw + _PAD, dict_type=Z.DICT_TYPE_RAWCONTENT),
-                                       compression_params=params).compress for raw in (ordinary, ordinary + toxic)]
+                                       compression_params=PARAMETERS).compress for raw in (ordinary, ordinary + toxic)]
         self._cache: dict[bytes, int] = {}
 
     def of(self, window: bytes) -> int:
@@ -141,11 +142,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
     return w
 
 
-def _dictionaries(positive: list[str], negative: list[str], seed: int) -> tuple[bytes, bytes]:
+def _dictionaries(positive: list[str], negative: list[str], seed: int, ratio: float) -> tuple[bytes, bytes]:
     """The ordinary base and the toxic part, trained on ordinary text and on the toxic texts' words with hot grams."""
     (in_tox, in_docs, n_tox), (in_plain, _, n_plain) = _count(positive), _count(negative)
     least = max(3, 0.005 * len(positive))
-    hot = {g for g, c in in_tox.items() if in_docs[g] >= least and c * n_plain >= HOT * (in_plain[g] + 1) * n_tox}
+    hot = {g for g, c in in_tox.items() if in_docs[g] >= least and c * n_plain >= ratio * (in_plain[g] + 1) * n_tox}
     words = [b" " + w + b" " for t in positive for w in windows(t) if not hot.isdisjoint(_grams(w))]
     runs = [b" ".join(ws[i:i + 12]) for t in negative for ws in [t.encode().lower().split()] for i in range(0, len(ws), 12)]
     rng = random.Random(seed)
@@ -155,25 +156,37 @@ def _dictionaries(positive: list[str], negative: list[str], seed: int) -> tuple[
             _content([b"".join(words[i:i + 4]) for i in range(0, min(len(words), 200_000), 4)], TOXIC_BYTES, 24))
 
 
-def fit(texts: list[str], toxic: list[int], seed: int = 7, parts: int = 3) -> Model | None:
+def fit(samples: list[str], toxic: list[int], seed: int = 7, parts: int = 3) -> Model | None:
     """Dictionaries and calibration from labelled texts; None without both classes.
 
-    The calibration sees every text only through dictionaries trained on the other parts."""
-    pairs = sorted(dict(zip(texts, toxic)).items())  # copies count once
+    The calibration sees every text only through dictionaries trained on the other parts, and the ratio
+    of hot grams with the least log loss of such a calibration is taken."""
+    label: dict[str, int] = {}
+    for t, y in zip(samples, toxic):  # copies count once, as toxic if one of them is
+        label[t] = max(y, label.get(t, 0))
+    pairs = sorted(label.items())
     random.Random(seed).shuffle(pairs)
     positive, negative = [t for t, y in pairs if y], [t for t, y in pairs if not y]
     if not positive or not negative:
         return None
-    x, y = [], []
-    for part in range(parts):
-        rest = [[t for i, t in enumerate(ts) if i % parts != part] or ts for ts in (positive, negative)]
-        distance = Distance(*_dictionaries(*rest, seed))
-        for label, ts in ((1.0, positive), (0.0, negative)):
-            x += [distance.features(t) for t in ts[part::parts]]
-            y += [label] * len(ts[part::parts])
-    x, y = np.array(x), np.array(y)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    return Model(*_dictionaries(positive, negative, seed), mean, scale, _logistic((x - mean) / scale, y))
+    best = None
+    for ratio in HOT:
+        x, y = [], []
+        for part in range(parts):
+            rest = [[t for i, t in enumerate(ts) if i % parts != part] or ts for ts in (positive, negative)]
+            distance = Distance(*_dictionaries(*rest, seed, ratio))
+            for label, ts in ((1.0, positive), (0.0, negative)):
+                x += [distance.features(t) for t in ts[part::parts]]
+                y += [label] * len(ts[part::parts])
+        x, y = np.array(x), np.array(y)
+        mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+        weights = _logistic((x - mean) / scale, y)
+        p = np.clip(1 / (1 + np.exp(-((x - mean) / scale @ weights[1:] + weights[0]))), 1e-9, 1 - 1e-9)
+        loss = -float(np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
+        if best is None or loss < best[0]:
+            best = (loss, ratio, mean, scale, weights)
+    _, ratio, mean, scale, weights = best
+    return Model(*_dictionaries(positive, negative, seed, ratio), mean, scale, weights)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -194,10 +207,11 @@ _LOADED: dict[bytes, Distance] = {}
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """``id, score`` (0 to 1) per row, and ``row`` with ``carry``."""
-    source = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"), *([whole_row(docs).alias("row")] if carry else []))
+    source, place = text_rows(docs, id_col, text_col, carry)
     kept = [c for c in source.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("toxicity", _LOADED.clear)
         if model is not None and model.ordinary + model.toxic not in _LOADED:
             _LOADED.clear()
             _LOADED[model.ordinary + model.toxic] = Distance(model.ordinary, model.toxic)
@@ -206,7 +220,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 p = np.zeros(b.num_rows)
             else:
                 distance = _LOADED[model.ordinary + model.toxic]
-                p = model.probability(np.array([distance.features(t.as_py()) for t in b.column("text")]))
+                p = model.probability(np.array([distance.features(t) for t in texts(b, place)]))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(p)], [*kept, "score"])
 
     return source.mapInArrow(run, source.drop("text").withColumn("score", F.lit(0.0)).schema)

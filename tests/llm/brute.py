@@ -18,9 +18,7 @@ def lower(text):
 
 
 def tokenizer(name):
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def token_ids(texts, name):

@@ -111,6 +111,30 @@ def test_decontamination_drop(spark):
     assert {8, 9, 16, 17}.isdisjoint(r["doc_id"] for r in kept.collect()) and kept.count() == len(ROWS) - 4
 
 
+def test_toxicity_distances_and_labels():
+    """Distances are compressed lengths with either dictionary; equal texts are toxic if one label is; the order of rows is nothing."""
+    import zstandard
+
+    clean, bad = [f"some plain words number {i} are here" for i in range(60)], [f"grubba zonkel vexit {i} so it goes" for i in range(60)]
+    texts, labels = [*clean, *bad, bad[0]], [0] * 60 + [1] * 60 + [0]
+    a = toxicity.fit(texts, labels)
+    b = toxicity.fit(texts[::-1], labels[::-1])
+    assert a.toxic == b.toxic and a.ordinary == b.ordinary and (a.weights == b.weights).all()
+    assert toxicity.fit(["x", "x"], [1, 0]) is None and toxicity.fit(["x", "x"], [0, 1]) is None
+    distance = toxicity.Distance(a.ordinary, a.toxic)
+    size = []
+    for raw in (a.ordinary, a.ordinary + a.toxic):
+        dictionary = zstandard.ZstdCompressionDict(raw + toxicity._PAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        size.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=toxicity.PARAMETERS))
+    for w in (b"zonkel", b"plain", b"", b"x" * 48):
+        data = toxicity._PAD + b" " + w + b" " + toxicity._PAD
+        one, two = (len(c.compress(data)) for c in size)
+        assert distance.of(w) == one - two
+    text = "plain zonkel here"
+    d = sorted([0, 0, 0, *(distance.of(w) for w in toxicity.windows(text))])[-3:]
+    assert distance.features(text)[:3] == d and distance.features(text)[-1] == pytest.approx(math.log(4))
+
+
 def test_toxicity_learns_and_scores(spark):
     rng = np.random.default_rng(1)
     syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]
@@ -383,6 +407,30 @@ def test_html_awkward():
     assert html_extract.extract_group(["", "no markup < at > all", "<p>a<!-- c --", "<script>x"]) == ["", "no markup < at > all", "a", ""]
 
 
+def test_html_deep_nesting():
+    """No recursion and no quadratic scan, whatever the depth and the unmatched end tags."""
+    n = 100_000
+    assert html_extract.extract_group(["<article>" + "<div>" * n + "deep text" + "</div>" * n + "</article>"]) == ["deep text"]
+    assert html_extract.extract_group(["<nav>" + "<div>" * n + "</span></section>" * n + "menu"]) == [""]
+
+
+@pytest.mark.parametrize("inner", ['<div class="comment">', '<div id="comments-section">', '<div id="sidebar">', '<div class="cookie-bar">',
+                                   '<div class="x post-comments">', '<ul class="social-share">'])
+def test_html_furniture_in_articles(inner):
+    tag = inner[1:].split()[0]
+    assert html_extract.extract_group([f"<article><p>Own text.</p>{inner}<p>not text</p></{tag}><p>More.</p></article>"]) == ["Own text.\nMore."]
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<div class="entry-header"><h1>Title</h1></div><p>Text.</p><div class="site-header">Site</div>', "Title\nText."),
+    ('<div class="related-work"><p>Work</p></div><div class="related-posts">Posts</div>', "Work"),
+    ('<section class="search-results"><p>Found</p></section><div class="search-box">Find</div>', "Found"),
+    ('<div class="no-sidebar"><p>Text.</p><div id="left-sidebar">Side</div><div class="topMenu">Menu</div></div>', "Text."),
+])
+def test_html_names_without_article(page, want):
+    assert html_extract.extract_group([f"<body>{page}</body>"]) == [want]
+
+
 @pytest.mark.parametrize("page,want", [
     ('<article><h1>T</h1><h2 id="related-work">Related work</h2><p>a</p></article>', "T\nRelated work\na"),
     ('<main><section id="search-engines"><h2 id="comments">Engines</h2><p>a</p></section></main>', "Engines\na"),
