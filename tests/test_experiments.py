@@ -25,7 +25,7 @@ FEATS = FEATURES + DERIVED_FEATURES
 
 
 def light(name, n):
-    if name == "XGBoost":
+    if name.startswith("XGBoost"):
         return SparkClassifier(name, GBTClassifier(maxIter=5, maxDepth=3, seed=42))
     return make_model(name, n)
 
