@@ -9,16 +9,21 @@ left-to-right traversal of a text carries the state and adds up the arcs' weight
 
 The model covers all training rows and grows with the corpus, so no task holds it whole:
 
-1. Documents are packed into blocks of a few megabytes (written, so that both later
-   passes see the same blocks).
+1. Documents are packed into blocks of some megabytes of text, kept as token numbers and the
+   hashes of the block's words (written, so that both later passes see the same blocks and
+   neither splits a text again).
 2. Every block sends the hashes of its distinct n-grams, with its own training counts,
    to hash buckets; a bucket sums the counts over blocks and answers each block with the
    totals of what it asked for, in the same order. Counts are combined in the block before
    the shuffle, so the commonest words cost a row a block. Buckets grow in number with
-   the tokens.
+   the tokens. There is a row for every block and bucket, so their sizes bound the rows:
+   16 times fewer of them for blocks and buckets four times as large.
 3. Every block builds the automaton of its own n-grams from the answers and scores its
    documents with it. This gives the same scores as the whole model, since a traversal
-   only meets arcs and states of the text's own n-grams.
+   only meets arcs and states of the text's own n-grams. The texts of a block are traversed
+   side by side, a NumPy lane each; a long text is several lanes, each of which
+   first reads the ``order - 1`` tokens before it, after which its state no longer
+   depends on what came earlier.
 
 Cases: null or empty texts are the end token alone; rows that repeat a doc_id are scored
 (and learnt from) each for itself; a null doc_id counts as the empty text for the fold;
@@ -45,12 +50,14 @@ ORDER = 2
 MU = 30.0
 ADD = 0.1
 FOLDS, HELD_OUT = 10, 0
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 #: n-gram entries (before merging) that a bucket holds, on average.
-BUCKET_ENTRIES = 2_000_000
+BUCKET_ENTRIES = 4_000_000
+#: Tokens that a lane of the traversal scores.
+LANE = 256
 _END, _START = b"\n", b"\n\n"  # no word contains white space
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_BLOCK_SCHEMA = "block long, tokens long, payload binary"
+_BLOCK_SCHEMA = "block long, tokens long, documents binary, sequence binary, words binary"
 
 
 def _ipc(batch: pa.RecordBatch) -> bytes:
@@ -60,34 +67,42 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
 
 
-def _documents(payload: bytes) -> pa.RecordBatch:
-    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(payload)).read_next_batch()
+def _documents(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)).read_next_batch()
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``block, tokens, payload``: whole documents, packed and compressed."""
+    """``block, tokens, documents, sequence, words``: whole documents as token numbers, and the hash behind each number."""
     source = docs.select(col(id_col).alias("id"), (fold(id_col, FOLDS) == HELD_OUT).alias("held_out"), text_of(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, size, count = TaskContext.get().partitionId() << 32, [], 0, 0
+        block, size = TaskContext.get().partitionId() << 32, 0
+        held: list[pa.RecordBatch] = []
+        sequences: list[np.ndarray] = []
+        number: dict[bytes, int] = {_START: 0, _END: 1}
 
         def out():
-            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([count]), pa.array([_ipc(whole)], pa.binary())],
-                                              ["block", "tokens", "payload"])
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            lengths = pa.array([len(x) - 1 for x in sequences], pa.int64())
+            rows = pa.RecordBatch.from_arrays([*rows.columns, lengths], ["id", "held_out", "n_tokens"])
+            words = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.array([sum(map(len, sequences))]), pa.array([_ipc(rows)], pa.binary()),
+                 pa.array([_pack(np.concatenate(sequences))], pa.binary()), pa.array([words.tobytes()], pa.binary())],
+                ["block", "tokens", "documents", "sequence", "words"])
 
         for b in batches:
-            at = 0
+            at, rows = 0, b.select(["id", "held_out"])
             for i, t in enumerate(b.column("text")):
-                text = t.as_py()
+                text = t.as_py().encode().lower()
                 size += len(text)
-                count += text.count(" ") + text.count("\n") + 2
+                sequences.append(np.array([0, *[number.setdefault(w, len(number)) for w in text.split()], 1], np.int32))
                 if size >= block_bytes:
-                    held.append(b.slice(at, i + 1 - at))
+                    held.append(rows.slice(at, i + 1 - at))
                     yield out()
-                    at, held, size, count, block = i + 1, [], 0, 0, block + 1
+                    at, held, sequences, number, size, block = i + 1, [], [], {_START: 0, _END: 1}, 0, block + 1
             if at < b.num_rows:
-                held.append(b.slice(at))
+                held.append(rows.slice(at))
         if held:
             yield out()
 
@@ -97,26 +112,19 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK
 class Grams:
     """The n-grams of a block's documents, each text as start, words, end.
 
-    ``sequence``: local token numbers of all documents, one after another; ``starts``: where
-    each begins. ``ids[k]``: by position, the local number of the k-gram that ends there (-1: none);
+    ``starts``: where each text begins in the block's sequence of tokens. ``ids[k]``: by position, the
+    local number of the k-gram that ends there (-1: none);
     ``keys[k]``: the distinct k-grams' sorted hashes, tagged with k; ``first[k]``: a position of each.
     """
 
-    def __init__(self, batch: pa.RecordBatch, order: int):
-        number: dict[bytes, int] = {_START: 0, _END: 1}
-        sequence, lengths = [], []
-        for t in batch.column("text"):
-            words = t.as_py().encode().lower().split()
-            sequence.append(0)
-            sequence.extend([number.setdefault(w, len(number)) for w in words])
-            sequence.append(1)
-            lengths.append(len(words) + 2)
-        self.n_tokens = np.array(lengths, np.int64) - 1
-        token = np.array(sequence, np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
+    def __init__(self, batch: pa.RecordBatch, sequence: bytes, words: bytes, order: int):
+        token = _unpack(sequence, "<i4")
+        self.n_tokens = batch.column("n_tokens").to_numpy()
+        lengths = self.n_tokens + 1
+        self.starts = np.cumsum(lengths) - lengths
         self.document = np.repeat(np.arange(len(lengths)), lengths)
         place = np.arange(len(token)) - self.starts[self.document]
-        word = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))[token]
+        word = np.frombuffer(words, "<u8")[token]
         self.train = ~np.array(batch.column("held_out").to_pylist(), bool)[self.document]
         self.ids, self.keys, self.first, gram = {}, {}, {}, word
         for k in range(1, order + 1):
@@ -164,8 +172,9 @@ def requests(packed: DataFrame, order: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, payload in zip(b.column("block").to_pylist(), b.column("payload")):
-                grams = Grams(_documents(payload.as_py()), order)
+            for block, *parts in zip(b.column("block").to_pylist(), b.column("documents"), b.column("sequence"), b.column("words")):
+                rows, sequence, words = [x.as_py() for x in parts]
+                grams = Grams(_documents(rows), sequence, words, order)
                 keys, by = grams.flat()
                 counts = np.concatenate([grams.counts(k) for k in sorted(grams.keys)])[by]
                 edges = _bucket_edges(keys, buckets)
@@ -197,8 +206,9 @@ def answers(asked: DataFrame) -> DataFrame:
 
 
 class Automaton:
-    """States are the block's seen contexts (0: the root); ``arcs[state * width + token]`` leads to
-    (next state, weight); ``fail[state]`` to (shorter context, weight)."""
+    """States are the block's seen contexts (0: the root). The arcs, sorted by ``state * width + token``,
+    lead to ``go`` with ``weight``; a state's failure arc leads to ``fail_to``, the shorter context, with ``fail_weight``;
+    the root has an arc for every token."""
 
     def __init__(self, grams: Grams, totals: dict[int, np.ndarray], n: int, v: int, order: int, mu: float):
         token = grams.ids[1]
@@ -206,17 +216,18 @@ class Automaton:
         for k in range(2, order):
             base[k] = base[k - 1] + len(grams.keys[k - 1])
         self.start = base[order - 1] + len(grams.keys[order - 1]) if order > 1 else 0  # the state of a text's beginning
-        self.width = width
+        self.width, self.order = width, order
         p = {1: (totals[1] + ADD) / (n + ADD * (v + 1))}
-        self.root = list(zip((base[1] + np.arange(width) if order > 1 else np.zeros(width, np.int64)).tolist(), np.log10(p[1]).tolist()))
+        self.root_go = base[1] + np.arange(width) if order > 1 else np.zeros(width, np.int64)
+        self.root_weight = np.log10(p[1])
         # A beginning precedes every training text's first word, so it was seen as often as the end.
         end = token[grams.starts[0] + grams.n_tokens[0]] if width else 0
         began = float(totals[1][end]) if width else 0.0
-        fail_to, fail_weight = [0], [0.0]
+        fail_to, fail_weight = [np.zeros(1, np.int64)], [np.zeros(1)]
         if order > 1:
-            fail_to += [0] * width
-            fail_weight += np.log10(mu / (totals[1] + mu)).tolist()
-        self.arcs: dict[int, tuple[int, float]] = {}
+            fail_to.append(np.zeros(width, np.int64))
+            fail_weight.append(np.log10(mu / (totals[1] + mu)))
+        arcs, go, weight = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         for k in range(2, order + 1):
             at = grams.first[k]
             if k == 2:
@@ -228,34 +239,64 @@ class Automaton:
             shorter = grams.ids[k - 1][at]
             p[k] = (totals[k] + mu * p[k - 1][shorter]) / (context + mu)
             seen = totals[k] > 0
-            go = base[k] + np.arange(len(at)) if k < order else base[k - 1] + shorter
-            self.arcs.update(zip((state * width + token[at])[seen].tolist(), zip(go[seen].tolist(), np.log10(p[k])[seen].tolist())))
+            arcs.append((state * width + token[at])[seen])
+            go.append((base[k] + np.arange(len(at)) if k < order else base[k - 1] + shorter)[seen])
+            weight.append(np.log10(p[k])[seen])
             if k < order:
-                fail_to += (base[k - 1] + shorter).tolist()
-                fail_weight += np.log10(mu / (totals[k] + mu)).tolist()
+                fail_to.append(base[k - 1] + shorter)
+                fail_weight.append(np.log10(mu / (totals[k] + mu)))
         if order > 1:
-            fail_to.append(0)
-            fail_weight.append(float(np.log10(mu / (began + mu))))
-        self.fail = list(zip(fail_to, fail_weight))
-
-    def score(self, tokens: list[int]) -> float:
-        arcs, fail, root, width, state, total = self.arcs, self.fail, self.root, self.width, self.start, 0.0
-        for t in tokens:
-            while state:
-                arc = arcs.get(state * width + t)
-                if arc is not None:
-                    break
-                state, weight = fail[state]
-                total += weight
-            else:
-                arc = root[t]
-            state, weight = arc
-            total += weight
-        return total
-
-
-def _scored(batch: pa.RecordBatch, reply: list[tuple[int, bytes]], n: int, v: int, order: int, mu: float) -> dict[str, pa.Array]:
-    grams = Grams(batch, order)
+            fail_to.append(np.zeros(1, np.int64))
+            fail_weight.append(np.array([np.log10(mu / (began + mu))]))
+        self.fail_to, self.fail_weight = np.concatenate(fail_to), np.concatenate(fail_weight)
+        arcs = np.concatenate(arcs)
+        by = np.argsort(arcs)
+        self.arcs = np.concatenate([arcs[by], [np.iinfo(np.int64).max]])  # the last one matches nothing
+        self.go, self.weight = np.concatenate(go)[by], np.concatenate(weight)[by]
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each lane's token leads and the weights met on the way: failure arcs until some state has an arc."""
+        total, to, open_ = np.zeros(len(state)), np.empty(len(state), np.int64), np.arange(len(state))
+        while len(open_):
+            at = state[open_]
+            root = at == 0
+            key = at * self.width + token[open_]
+            arc = np.searchsorted(self.arcs, key)
+            found = (self.arcs[arc] == key) & ~root
+            lane, arc = open_[found], arc[found]
+            to[lane] = self.go[arc]
+            total[lane] += self.weight[arc]
+            lane = open_[root]
+            to[lane] = self.root_go[token[lane]]
+            total[lane] += self.root_weight[token[lane]]
+            open_ = open_[~found & ~root]
+            total[open_] += self.fail_weight[state[open_]]
+            state[open_] = self.fail_to[state[open_]]
+        return to, total
+
+    def scores(self, token: np.ndarray, starts: np.ndarray, n_tokens: np.ndarray, lane: int) -> np.ndarray:
+        """The log-probability of each text: its tokens follow the beginning at ``starts``."""
+        cuts = -(-n_tokens // lane)
+        document = np.repeat(np.arange(len(starts)), cuts)
+        part = np.arange(len(document)) - (np.cumsum(cuts) - cuts)[document]
+        begin = starts[document] + 1 + part * lane
+        end = np.minimum(begin + lane, (starts + n_tokens + 1)[document])
+        position = begin - np.minimum(self.order - 1, part * lane)
+        by = np.argsort(position - end)  # longest first, so that the lanes still open are a prefix
+        begin, end, position = begin[by], end[by], position[by]
+        state = np.where(position == starts[document[by]] + 1, self.start, 0)
+        total = np.zeros(len(by))
+        steps = end - position
+        for i in range(int(steps.max(initial=0))):
+            m = int(np.searchsorted(-steps, -i))
+            state[:m], weight = self.step(state[:m], token[position[:m] + i])
+            total[:m] += np.where(position[:m] + i >= begin[:m], weight, 0.0)
+        return np.bincount(document[by], weights=total, minlength=len(starts))
+
+
+def _scored(batch: pa.RecordBatch, sequence: bytes, words: bytes, reply: list[tuple[int, bytes]], n: int, v: int, order: int, mu: float,
+            lane: int) -> dict[str, pa.Array]:
+    grams = Grams(batch, sequence, words, order)
     keys, by = grams.flat()
     flat = np.empty(len(keys), np.uint64)
     flat[by] = np.concatenate([_unpack(t, "<u8") for _, t in sorted(reply)])
@@ -264,17 +305,16 @@ def _scored(batch: pa.RecordBatch, reply: list[tuple[int, bytes]], n: int, v: in
     at = grams.ids[1] >= 0
     one, doc, docs = totals[1][grams.ids[1][at]], grams.document[at], batch.num_rows
     automaton = Automaton(grams, totals, n, v, order, mu)
-    token = grams.ids[1]
-    score = [automaton.score(token[s + 1:s + 1 + k].tolist()) for s, k in zip(grams.starts, grams.n_tokens)]
+    score = automaton.scores(grams.ids[1], grams.starts, grams.n_tokens, lane)
     base = np.log10((one + ADD) / (n + ADD * (v + 1)))
     return {"held_out": batch.column("held_out"), "n_tokens": pa.array(grams.n_tokens),
             "n_known": pa.array(np.bincount(doc, weights=one > 0, minlength=docs).astype(np.int64)),
             "train_tokens": pa.array([n] * docs, pa.int64()), "base_score": pa.array(np.bincount(doc, weights=base, minlength=docs)),
-            "score": pa.array(score, pa.float64())}
+            "score": pa.array(score)}
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, mu: float = MU,
-              block_bytes: int = BLOCK_BYTES, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
+              block_bytes: int = BLOCK_BYTES, bucket_entries: int = BUCKET_ENTRIES, lane: int = LANE) -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row (logarithms to base 10)."""
     if not 1 <= order <= 4:
         raise ValueError("order is 1 to 4")
@@ -287,9 +327,10 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         reply = list(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist()))
-        for payload in left.column("payload"):
-            batch = _documents(payload.as_py())
-            out.append(pa.table({"id": batch.column("id"), **_scored(batch, reply, n, v, order, mu)}))
+        for parts in zip(left.column("documents"), left.column("sequence"), left.column("words")):
+            rows, sequence, words = [x.as_py() for x in parts]
+            batch = _documents(rows)
+            out.append(pa.table({"id": batch.column("id"), **_scored(batch, sequence, words, reply, n, v, order, mu, lane)}))
         return pa.concat_tables(out).combine_chunks()
 
     schema = T.StructType([T.StructField("id", docs.select(col(id_col)).schema[0].dataType),

@@ -92,20 +92,24 @@ def held_out(doc_id, parts, remainder):
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % parts == remainder
 
 
-def lm(rows, mu, add=0.1):
-    """(n_tokens, n_known, N, base_score, score) per row, by direct recursion over a bigram model."""
+def lm(rows, mu, add=0.1, order=2):
+    """(n_tokens, n_known, N, base_score, score) per row, by direct recursion over an n-gram model."""
     texts = [re.findall(r"[^\x20\x09-\x0D]+", lower(t)) + ["\n"] for _, t in rows]
-    train = [t for (i, _), t in zip(rows, texts) if not held_out(i, 10, 0)]
-    one = Counter(w for t in train for w in t)
-    two = Counter(p for t in train for p in zip(["\n\n", *t], t))
+    train = [["\n\n", *t] for (i, _), t in zip(rows, texts) if not held_out(i, 10, 0)]
+    one = Counter(w for t in train for w in t[1:])
     n, v = sum(one.values()), len(one)
-    context = Counter(one)
-    context["\n\n"] = len(train)
+    seen = Counter(tuple(t[e - k:e]) for t in train for k in range(1, order + 1) for e in range(k, len(t) + 1))
+
+    def p(h, w):
+        if not h:
+            return (one[w] + add) / (n + add * (v + 1))
+        return (seen[*h, w] + mu * p(h[1:], w)) / (seen[h] + mu)
+
     out = []
     for t in texts:
-        p1 = [(one[w] + add) / (n + add * (v + 1)) for w in t]
-        p2 = [(two[h, w] + mu * p) / (context[h] + mu) for h, w, p in zip(["\n\n", *t], t, p1)]
-        out.append((len(t), sum(one[w] > 0 for w in t), n, sum(map(math.log10, p1)), sum(map(math.log10, p2))))
+        whole = ("\n\n", *t)
+        score = sum(math.log10(p(whole[max(0, i + 1 - order):i], whole[i])) for i in range(1, len(whole)))
+        out.append((len(t), sum(one[w] > 0 for w in t), n, sum(math.log10(p((), w)) for w in t), score))
     return out
 
 
