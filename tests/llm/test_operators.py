@@ -489,6 +489,34 @@ def test_lm_given(spark, given):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+@pytest.mark.parametrize("order,lane", [(1, 256), (2, 1), (3, 1), (3, 256), (4, 2), (4, 5)])
+def test_lm_orders_and_lanes(spark, order, lane):
+    """Every order against brute force, texts longer than a lane included; held-out texts follow failure arcs of every depth."""
+    rng = np.random.default_rng(order)
+    docs = [(i, " ".join(rng.choice(list("abcd"), rng.integers(0, 30)))) for i in range(60)]
+    docs += [(60 + i, "a b c d x" + " a b c a" * i + f" only{i}") for i in range(20)] + [(3, None), (3, "a b")]
+    rows = lm_score.lm_scores(documents(spark, [(*d, "x") for d in docs]), order=order, mu=2.0, lane=lane, block_bytes=400, bucket_entries=100).collect()
+    same([tuple(r) for r in rows], [(i, brute.held_out(i, 10, 0), *x) for (i, _), x in zip(docs, brute.lm(docs, 2.0, order=order))])
+
+
+def test_encoder_units():
+    """Texts cut into units and a cache that overflows give the library's ids, white space and odd characters anywhere."""
+    import random
+
+    import public_tokenizers
+
+    from quench.llm.tokens import Encoder
+
+    rng = random.Random(5)
+    bits = ["a", "B", "é", "İ", "ß", " ", " ", " ", "\n", "\t", "\u00a0", "\u3000", "\u0308", "'s", "'", "1", "23", ".", ",", "--", "日", "\U0001f600", "\r", "\x1c",
+            "\x85", "\u200b", "foo", "the", "don't", "<|endoftext|>", "\u01c4", "\ufb01", "\x00", "\u212a"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    for kind, name in (("byte", "byte_bpe_50k.json"), ("word", "word_bpe_49k.json")):
+        ours = Encoder(public_tokenizers.path(name), kind, units=500)
+        for t in texts:
+            assert ours.encode(t) == np.array(ours.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+
+
 def test_lm_higher_order_is_a_distribution(spark):
     """Order 3: probabilities of every continuation of a context sum to one (unseen words share the rest)."""
     docs = documents(spark, [(i, "a b c a b d a b c b a", "x") for i in range(6)])
