@@ -66,14 +66,6 @@ def correlation_p_value(r: float | None, n: int) -> float | None:
     return _betainc(dof / 2.0, 0.5, dof / (dof + t2))
 
 
-def average_ranks(df: DataFrame, col: str, out: str, rows_per_bin: int = 2_000_000) -> DataFrame:
-    """Average (tie-aware) 1-based rank of ``col``, appended as ``out``."""
-    g = df.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-    pre = prefix_sums(g, col, {"_cnt": "_cnt"}, rows_per_bin=rows_per_bin)
-    ranks = pre.select(col, (F.col("_cnt_before") + (F.col("_cnt") + 1) / 2.0).alias(out))
-    return df.join(ranks, col, "left")
-
-
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row (spearman_correlation, n) = Pearson of average ranks.
 
