@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from quench.plans.registry import register
 from quench.sources.fixtures import table
-from quench.streaming import monitor
+from quench.streaming import monitor, sessions
 
 EV_CTE = ("ev AS (SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END "
           "AS value FROM events)")
@@ -53,6 +53,11 @@ def q_h2_stream_sessions(spark, sf_dir):
     return monitor.stream_sessions(spark, sf_dir, "30 minutes")
 
 
+@register("h2_stateful_sessions", _SESSIONS)
+def q_h2_stateful_sessions(spark, sf_dir):
+    return sessions.stream_sessions_stateful(spark, sf_dir, "30 minutes")
+
+
 @register("h2_stream_sliding_windows", _ev(
     "SELECT s AS window_start, event_type, count(*) AS n_events, count(*) - count(value) AS n_missing, avg(value) AS avg_value, "
     "(count(*) - count(value)) / count(*) AS missing_rate, count(CASE WHEN value > 200.0 THEN 1 END) AS n_above_limit "
