@@ -5,8 +5,10 @@ long hexadecimal runs. The method adds strings that look random: a first-order M
 model of the characters of random strings, trained on all that the base rules found in
 the corpus, against one of ordinary identifiers, trained on the tokens of a bounded sample of
 documents outside any base match (``SAMPLE`` documents of least id hash). A candidate (a run of
-``LEAST`` or more token characters with a letter and a digit) whose log-likelihood ratio
-reaches ``THRESHOLD`` is added as kind ``random`` unless it overlaps a base span.
+``LEAST`` or more token characters with a letter) whose log-likelihood ratio
+reaches ``THRESHOLD``, and ``RATE`` for each pair of characters, is added as kind ``random``
+unless it overlaps a base span. Without the rate, long ordinary names of a form that is rare in the
+sample (paths, camel case) would sum many small steps up to the threshold.
 
 Everything is DataFrame functions. Regular expressions run on whole texts; a match's place
 follows from the lengths of the gaps before it (``split``) and of the matches
@@ -35,10 +37,13 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGN = 6
 TOKEN, LEAST = r"[A-Za-z0-9+/_=-]", 16
-#: A maximal run of token characters with a digit among them.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])" + TOKEN + "{%d,}" % LEAST
+#: A maximal run of token characters with a letter among them.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*+[A-Za-z])" + TOKEN + "{%d,}" % LEAST
 THRESHOLD = 12.0
+RATE = 2.0
 SAMPLE = 4000
+#: Matches folded into one array at a time: appending copies, so a text of n matches costs n * CHUNK + (n / CHUNK)^2 steps.
+CHUNK = 256
 _ALPHABET = 67
 _PRIOR_RANDOM, _PRIOR_ORDINARY = 20.0, 5.0
 
@@ -56,14 +61,24 @@ def _located(text: Column, pattern: str, guard: Column, value_group: int = 0, le
         matches = F.transform(whole, lambda m: F.struct(F.length(m).alias("m"), m.alias("v")))
     parts = F.zip_with(gaps, matches, lambda g, x: F.struct(F.length(g).alias("g"), x["m"].alias("m"), x["v"].alias("v")))
     none = F.array().cast("array<struct<s:int,e:int,v:string>>")
-    found = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["g"] + F.coalesce(x["m"], F.lit(0))).alias("at"),
-            F.when(x["m"].isNotNull() & (F.length(x["v"]) >= least), F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["g"]).alias("s"), (a["at"] + x["g"] + x["m"]).alias("e"), x["v"].alias("v")))))
-            .otherwise(a["out"]).alias("out")))
-    return F.when(guard, found["out"]).otherwise(none)
+    place = F.struct(F.lit(0).alias("at"), none.alias("out"))
+
+    def one(a: Column, x: Column) -> Column:
+        ends = a["at"] + x["g"] + F.coalesce(x["m"], F.lit(0))
+        span = F.struct((a["at"] + x["g"]).alias("s"), ends.alias("e"), x["v"].alias("v"))
+        return F.struct(ends.alias("at"), F.when(x["m"].isNotNull() & (F.length(x["v"]) >= least), F.concat(a["out"], F.array(span)))
+                        .otherwise(a["out"]).alias("out"))
+
+    def chunk(done: Column, xs: Column) -> Column:
+        return F.concat(done, F.array(F.aggregate(xs, F.struct(F.element_at(done, -1)["at"].alias("at"), none.alias("out")), one)))
+
+    def folded(p: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(p), F.lit(CHUNK))
+        return F.aggregate(firsts, F.array(place), lambda done, i: chunk(done, F.slice(p, i, CHUNK)),
+                           lambda done: F.flatten(F.transform(done, lambda d: d["out"])))
+
+    found = F.get(F.transform(F.array(parts), folded), 0)  # a lambda's argument, so that the parts are found once
+    return F.when(guard, found).otherwise(none)
 
 
 def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -110,12 +125,14 @@ def ratio(token: Column, model: list[float]) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x)
 
 
-def scan(docs: DataFrame, model: list[float], id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, model: list[float], id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+         rate: float = RATE) -> DataFrame:
     """``id, assign, access, hex, random``: arrays of (s, e, v); ``random`` are the spans that the models add."""
     base = _base(docs, id_col, text_col)
     taken = F.concat("assign", "access", "hex")
-    candidates = F.filter(_located(F.col("text"), CANDIDATE, F.col("text").rlike(CANDIDATE)), lambda x: x["v"].rlike("[A-Za-z]"))
-    added = F.filter("candidates", lambda x: ~F.exists("taken", lambda t: (t["s"] < x["e"]) & (x["s"] < t["e"])) & (ratio(x["v"], model) >= threshold))
+    candidates = _located(F.col("text"), CANDIDATE, F.col("text").rlike(CANDIDATE))
+    added = F.filter("candidates", lambda x: ~F.exists("taken", lambda t: (t["s"] < x["e"]) & (x["s"] < t["e"]))
+                     & (ratio(x["v"], model) >= F.greatest(F.lit(threshold), F.lit(rate) * (F.length(x["v"]) - 1))))
     return (base.withColumn("taken", taken).withColumn("candidates", candidates)
             .select("id", "assign", "access", "hex", added.alias("random")))
 

@@ -390,6 +390,24 @@ def test_secrets_awkward(spark):
     assert added == {31: ["xK9qL2vB7nM4pR8tW3zY6cF1"]}
 
 
+def test_secrets_of_letters_alone(spark):
+    """Random letters reach the models and are added, ordinary names of many forms are not."""
+    random = ["xKqLvBnMpRtWzYcFjHgD", "QxzvKWpJrTbLmGhN", "zqxjvkwpbmtrlnhg"]
+    names = ["thisisalongordinaryword", "internationalization", "src/main/java/org/apache", "configuration_manager_factory",
+             "HttpServletRequestWrapper", "very-long-hyphenated-name", "================", "2024-11-30-12-45-59"]
+    rows = spark.createDataFrame([(i, f"see {v}, end") for i, v in enumerate(random + names)], "doc_id bigint, text string")
+    found = secrets.scan(rows, secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))).collect()
+    assert {x["v"] for r in found for x in r["random"]} == set(random)
+
+
+@pytest.mark.parametrize("n", [0, 1, 254, 255, 256, 257, 513, 20_000])
+def test_secrets_many_matches(spark, n):
+    """Places across the chunks of the fold equal the plain rules."""
+    text = "é" + "".join(f"x{i} password={i:06x}{'' if i % 3 else ' AKIA' + 'Q' * 16} é " for i in range(n))
+    (r,) = secrets.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), [0.0] * 128 * 128).collect()
+    assert sorted((x["s"], k, x["e"]) for k, name in enumerate(secrets.KINDS[:3]) for x in r[name]) == brute.secret(text)
+
+
 def test_html_given(spark):
     rows = QUERIES["op8_html_extraction"](spark, SF).collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
