@@ -55,7 +55,7 @@ def _metrics_of(c: DataFrame) -> DataFrame:
 def _auc(counts: DataFrame, score: str, rows_per_bin: int) -> DataFrame:
     """AUC from one row per score with ``_pos`` and ``_neg`` counts; products are decimals, which
     hold the pairs of 10^18 rows."""
-    pre = prefix_sums(counts, score, {"_neg": "_neg"}, rows_per_bin=rows_per_bin)
+    pre = prefix_sums(counts.checkpoint(eager=True), score, {"_neg": "_neg"}, rows_per_bin=rows_per_bin)
     d = lambda c: c.cast("decimal(19,0)")
     tot = pre.agg(
         F.sum(d(F.col("_pos")) * d(2 * F.col("_neg_before") + F.col("_neg"))).alias("_num"),

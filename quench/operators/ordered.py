@@ -12,8 +12,9 @@ evenly spaced edges for a key known to be uniform):
   value or order key is NULL keep their place (NULL keys come first, as in
   Spark's ascending order).
 
-The same path runs at every size; the bins (at least one a core, at most
-``MAX_BINS``) only steer task size. The order (``order_col`` plus
+Rows that fit one bin's budget are one bin, which needs no edges, totals or offsets; more
+rows make at least a bin a core and at most ``MAX_BINS``. Bins only steer task size. The input is
+read up to four times, so callers hand over a written table. The order (``order_col`` plus
 ``tiebreak``) must be unique per row; callers group tied values first (AUC
 and average ranks do).
 """
@@ -55,6 +56,9 @@ def prefix_sums(df: DataFrame, order_col: str, sums: dict[str, str], partition_c
     tiebreak = list(tiebreak or [])
     if n_rows is None:
         n_rows = df.count()
+    if n_rows <= rows_per_bin:
+        before = Window.orderBy(order_col, *tiebreak).partitionBy(*parts, F.lit(0)).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select("*", *[F.coalesce(F.sum(F.col(expr)).over(before), F.lit(0)).alias(f"{name}_before") for name, expr in sums.items()])
     nbins = max(2, df.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / max(rows_per_bin, 1)))
     binned = _bins(df, order_col, min(MAX_BINS, nbins), uniform)
     within = (Window.partitionBy(*parts, "_bin").orderBy(order_col, *tiebreak)

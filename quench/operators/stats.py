@@ -76,7 +76,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     n = pairs.agg(F.sum("c")).first()[0] or 0
     ranked = pairs
     for v in ("x", "y"):
-        values = pairs.groupBy(v).agg(F.sum("c").alias("_cnt"))
+        values = pairs.groupBy(v).agg(F.sum("c").alias("_cnt")).checkpoint(eager=True)
         pre = prefix_sums(values, v, {"_cnt": "_cnt"})
         centred = F.col("_cnt_before") + (F.col("_cnt") + 1) / 2.0 - F.lit((n + 1) / 2.0)
         ranked = ranked.join(pre.select(v, centred.alias(f"r{v}")), v)
