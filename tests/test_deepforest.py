@@ -90,3 +90,28 @@ def test_edges(spark, planted):
     scored = DeepForest(trees=3).fit(gaps, PLANTED).predict(test.withColumn("q", F.lit(None).cast("double")))
     assert scored.count() == test.count() and scored.where("probability IS NULL").isEmpty()
     assert DeepForest(trees=3).fit(train, PLANTED).predict(test.limit(0)).isEmpty()
+
+
+def test_splits_from_sorted_rows_equal_those_from_histograms():
+    rng = np.random.default_rng(9)
+    n, count = 900, 40
+    k = np.append(np.arange(count), rng.integers(0, count, n - count))
+    b, y, w = rng.integers(0, 12, n), rng.integers(0, 2, n), rng.integers(1, 4, n).astype(float)
+    b[k == 3] = 7  # one bin: no split
+    hist = np.bincount((k * deepforest.BINS + b) * 2 + y, w, count * deepforest.BINS * 2).reshape(-1, deepforest.BINS, 2)
+    impurity, cut = deepforest.best_splits(hist)
+    least, where = deepforest.sparse_splits(k, b, y, w, count)
+    assert np.isinf(least[3]) and (least == impurity).all()
+    assert (where == cut)[np.isfinite(least)].all()
+
+
+def test_small_nodes_are_not_cut_by_histograms(monkeypatch):
+    """Noise labels give a node for every few rows: a histogram over all bins for each would cost more than the rows."""
+    seen = []
+    whole = deepforest.best_splits
+    monkeypatch.setattr(deepforest, "best_splits", lambda hist: seen.append(len(hist)) or whole(hist))
+    rng = np.random.default_rng(5)
+    x, y, w = rng.integers(0, 128, (4000, 5)).astype(np.uint8), rng.integers(0, 2, 4000), np.ones(4000)
+    tree = deepforest.grow(x, y, w, 2, np.random.default_rng(1))
+    assert (tree["feature"] >= 0).sum() > 500 and sum(seen) < 300
+    _leaf_impurity(x[:, :], y, w, tree)
