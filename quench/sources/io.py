@@ -192,11 +192,11 @@ def save_model(model, path: str) -> None:
 def load_model(path: str):
     """The saved model of any kind, ready to predict."""
     from quench.operators.boosted import BoostedTrees
-    from quench.operators.deepforest import DeepForest
+    from quench.operators.deepforest import DeepForest, DeepTree
     from quench.operators.iforest import IsolationForestModel
     from quench.operators.knn import KNNClassifier
     from quench.operators.models import SparkClassifier
 
     meta = json.loads(SparkSession.getActiveSession().read.text(f"{path}/meta").first()[0])
-    kinds = {"boosted trees": BoostedTrees, "deep forest": DeepForest, "isolation forest": IsolationForestModel, "nearest neighbours": KNNClassifier}
+    kinds = {"boosted trees": BoostedTrees, "deep forest": DeepForest, "deep tree": DeepTree, "isolation forest": IsolationForestModel, "nearest neighbours": KNNClassifier}
     return kinds.get(meta.get("kind"), SparkClassifier).load(path)

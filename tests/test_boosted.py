@@ -8,7 +8,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from quench.functions.constants import LABEL, ROW_ID
-from quench.operators.boosted import BoostedTrees
+from quench.operators.boosted import BoostedTrees, _descend
 from quench.operators.models import SparkClassifier, make_model
 from quench.sources.io import load_model
 
@@ -36,6 +36,22 @@ def test_same_as_the_library(spark, values):
     assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=1e-7) for k in want) and len(got) == len(want)
 
 
+def test_more_bins_than_asked_for(spark):
+    """A sample larger than expected proposes more thresholds; no bin may spill into the next node's."""
+    df = _rows(spark, 600).na.fill(0.5)
+    model = BoostedTrees("x", 4, 3, 0.1, fit_rows=0).fit(df, FEATS)
+    wide = BoostedTrees("x", 4, 3, 0.1)
+    wide.features, wide.edges = FEATS, [np.linspace(-2, 2, 70)] * 4
+    wide.trees = wide._over_table(wide._blocks(df, LABEL).rdd)
+    for m in (model, wide):  # a leaf's value is its rows' mean residual: the first tree's is the mean label
+        x = np.array([[r[f] for f in FEATS] for r in df.collect()])
+        y = np.array([r[LABEL] for r in df.collect()]) * 2.0 - 1.0
+        bins = np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(m.edges)])
+        node = _descend(bins, m.trees[0]["feature"], m.trees[0]["cut"], 3)
+        for k in np.unique(node):
+            assert m.trees[0]["value"][k] == pytest.approx(y[node == k].mean())
+
+
 def test_same_trees_however_fitted(spark):
     """In one task or over the table, with equal rows counted or not, whatever the partitions; 30 rounds pass a new start of the scores."""
     df = _rows(spark, values=6)
