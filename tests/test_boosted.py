@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quench.functions.constants import LABEL, ROW_ID
 from quench.operators.boosted import BoostedTrees, _descend
+from quench.operators.deepforest import DeepTree
 from quench.operators.models import SparkClassifier, make_model
 from quench.sources.io import load_model
 
@@ -17,7 +18,7 @@ def _rows(spark, n=3000, values=None):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(n, 4)) if values is None else rng.integers(0, values, (n, 4)).astype(float)
     y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=n) > np.median(x[:, 0])).astype(int)
-    rows = [(i, *[None if f == 3 and i % 11 == 0 else float(v) for f, v in enumerate(r)], int(c)) for i, (r, c) in enumerate(zip(x, y))]
+    rows = [(i, *map(float, r), int(c)) for i, (r, c) in enumerate(zip(x, y))]
     return spark.createDataFrame(rows, f"{ROW_ID} long, a double, b double, c double, d double, {LABEL} int").repartition(3, ROW_ID).checkpoint()
 
 
@@ -30,7 +31,7 @@ def _scores(model, df):
 
 @pytest.mark.parametrize("values", [None, 6])
 def test_same_as_the_library(spark, values):
-    df = _rows(spark, values=values).na.fill(0.5)
+    df = _rows(spark, values=values)
     want = _scores(SparkClassifier("x", GBTClassifier(maxIter=8, maxDepth=3, stepSize=0.1, seed=42)).fit(df, FEATS), df)
     got = _scores(BoostedTrees("x", 8, 3, 0.1).fit(df, FEATS), df)
     assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=1e-7) for k in want) and len(got) == len(want)
@@ -38,7 +39,7 @@ def test_same_as_the_library(spark, values):
 
 def test_more_bins_than_asked_for(spark):
     """A sample larger than expected proposes more thresholds; no bin may spill into the next node's."""
-    df = _rows(spark, 600).na.fill(0.5)
+    df = _rows(spark, 600)
     model = BoostedTrees("x", 4, 3, 0.1, fit_rows=0).fit(df, FEATS)
     wide = BoostedTrees("x", 4, 3, 0.1)
     wide.features, wide.edges = FEATS, [np.linspace(-2, 2, 70)] * 4
@@ -80,5 +81,9 @@ def test_saved_and_odd_rows(spark):
     assert sum(v for _, v in model.feature_importance()) == pytest.approx(1.0)
     same = df.withColumn("a", F.lit(2.0))
     assert len(_scores(BoostedTrees("x", 3, 2, 0.1).fit(same.limit(1), ["a"]), same)) == df.count()  # nothing to split
-    with pytest.raises(Exception, match="labels 0 and 1"):
-        BoostedTrees("x", 3, 2, 0.1).fit(df.withColumn(LABEL, F.lit(None).cast("int")), FEATS)
+    gaps = df.withColumn("d", F.when(F.col(ROW_ID) % 11 > 0, F.col("d")))
+    assert len(_scores(model, gaps)) == df.count()
+    for odd in (gaps, df.withColumn(LABEL, F.lit(None).cast("int"))):  # refused, as by the library
+        for m in (BoostedTrees("x", 3, 2, 0.1), DeepTree()):
+            with pytest.raises(Exception, match="finite features and labels 0 and 1"):
+                m.fit(odd, FEATS)
