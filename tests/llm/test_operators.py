@@ -535,6 +535,22 @@ def test_encoder_units():
             assert ours.encode(t) == np.array(ours.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 
+def test_encoder_looks_a_unit_up_once():
+    """A new unit is encoded by its lookup, with no pass before it that gathers what is new; a full cache starts anew."""
+    import public_tokenizers
+
+    from quench.llm.tokens import Encoder
+
+    ours = Encoder(public_tokenizers.path("byte_bpe_50k.json"), "byte", units=3, pieces=2)
+
+    def ids(text):
+        return np.array(ours.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    for part in ["hello", "don't", "\nnaïve", "İx,", "", "a\x00b", "hello", "zweiundzwanzig9"]:
+        assert ours.units[part] == ids(part if part[:1] == "\n" else " " + part)
+        assert len(ours.units) <= 4 and len(ours.pieces) <= 2
+
+
 def test_lm_higher_order_is_a_distribution(spark):
     """Order 3: probabilities of every continuation of a context sum to one (unseen words share the rest)."""
     docs = documents(spark, [(i, "a b c a b d a b c b a", "x") for i in range(6)])
