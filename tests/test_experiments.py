@@ -134,3 +134,47 @@ def test_failed_experiment_is_recorded(spark):
     with pytest.raises(ValueError):
         X.tracked(spark, folder, "rq", "q", {}, fail)
     assert X.tracking.experiment_state(spark, f"{folder}/events").first()["status"] == "failed"
+
+
+def _own_rows(spark):
+    return spark.createDataFrame([(f"{i:04d}", i / 100 - 1, (i * 37 % 101) / 50, int((i > 100) != (i % 10 == 0))) for i in range(200)],
+                                 "row_id string, a double, b double, Potability int")
+
+
+def test_tuning_keeps_its_rows_once(spark, monkeypatch):
+    """One kept table serves every fold and grid point; accuracy per fold is that of a fit without the fold."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from quench.operators.split import assign_folds
+
+    rows, kept = _own_rows(spark), []
+    for name in ("persist", "cache"):
+        def noted(self, *a, _was=getattr(Classic, name), **k):
+            kept.append(self.columns)
+            return _was(self, *a, **k)
+        monkeypatch.setattr(Classic, name, noted)
+    tuned = models.hyperparameter_tuning(rows, ["a", "b"], "Logistic Regression", k=4, grid_override=lambda est: [
+        {est.regParam: 1e7, est.elasticNetParam: 0.0}, {est.regParam: 1e-3, est.elasticNetParam: 0.0}])
+    assert kept == [["features", "label", "fold"]]
+    assert tuned.params["regParam"] == 1e-3 and abs(tuned.avg_accuracy[1] - tuned.accuracy) < 1e-12
+    folded = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(assign_folds(rows, 4)).withColumn("label", F.col("Potability").cast("double"))
+    est = LogisticRegression(maxIter=1000, standardization=False, regParam=1e-3, elasticNetParam=0.0)
+    for fold, share in enumerate(tuned.fold_accuracy):
+        scored = est.fit(folded.where(F.col("fold") != fold)).transform(folded.where(F.col("fold") == fold))
+        assert abs(share - scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]) < 1e-12
+
+
+def test_tuning_refuses_empty_folds(spark):
+    with pytest.raises(ValueError):
+        models.hyperparameter_tuning(_own_rows(spark).limit(2), ["a", "b"], "Logistic Regression", k=5)
+
+
+def test_bakeoff_on_its_training_rows_scores_them_once(spark, monkeypatch):
+    rows, calls, was = _own_rows(spark), [], models.evaluate_predictions
+    monkeypatch.setattr(models, "evaluate_predictions", lambda *a: calls.append(1) or was(*a))
+    table = models.train_baseline_models(rows, rows, ["a", "b"], names=["Logistic Regression", "Naive Bayes"]).collect()
+    assert len(calls) == 2 and all(r["train_accuracy"] == r["test_accuracy"] for r in table)
+    other = models.train_baseline_models(rows, rows.where(F.col("a") < 0), ["a", "b"], names=["Naive Bayes"]).first()
+    assert other["train_accuracy"] == {r["model"]: r["train_accuracy"] for r in table}["Naive Bayes"]
