@@ -56,3 +56,50 @@ def test_leaves_that_share_nothing_are_not_visited():
     assert (tree.present[tree.leaves[leaves], 0] > 0).all()
     near = tree.within(np.array([[3.0, np.nan]]), None, np.array([4.0]))[1]  # weight 2: values beyond sqrt(2) are too far
     assert set(tree.leaf_of(x[:8][abs(x[:8, 0] - 3) <= 1])) == set(near.tolist())
+
+
+def _votes(x, y, key, q, k):
+    """The share of class 1 by plain definition: not comparable last, then by distance, then by key (nulls last)."""
+    out = []
+    for v in q:
+        with np.errstate(invalid="ignore", over="ignore"):
+            d = ((x - v) ** 2).sum(1) if len(x) else np.zeros(0)
+        n = min(k, len(x))
+        near = sorted(range(len(x)), key=lambda i: (np.isnan(d[i]), d[i], key[i] is None, key[i] or "", y[i]))[:n]
+        out.append(None if np.isnan(v).any() or not n or np.isnan(d[near]).any() or np.isnan(y[near]).any() else y[near].mean())
+    return out
+
+
+def _frame(spark, x, **more):
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in x]
+    return spark.createDataFrame([(*r, *m) for r, m in zip(rows, zip(*more.values()))], "a double, b double, c double, " + ", ".join(
+        f"{n} {'int' if n == 'Potability' else 'string'}" for n in more)).repartition(3)
+
+
+def test_classifier_votes_over_all_training_rows(spark):
+    """Ties, copies, repeated and null keys, gaps and infinite values: the same votes from a held block and from leaves."""
+    rng = np.random.default_rng(7)
+    x = np.vstack([rng.integers(0, 4, (700, 3)), rng.random((700, 3)) * 4, np.full((30, 3), 1.0)])
+    x[5:9] = np.nan
+    x[20:26, 0], x[26:30, 1], x[30:33, 2] = np.inf, -np.inf, 1e200
+    y = rng.integers(0, 2, len(x))
+    key = [None if i % 50 == 3 else f"k{i % 1100:04d}" for i in rng.permutation(len(x))]
+    q = np.vstack([rng.integers(0, 4, (60, 3)), rng.random((60, 3)) * 4, [[np.inf, 1, 1], [1, -np.inf, 1], [np.inf, np.inf, 2], [np.nan, 1, 1], [1, 1, 1e200]]])
+    want = _votes(x, y.astype(float), key, q, 5)
+    train = _frame(spark, x, Potability=y.tolist(), row_id=key)
+    test = _frame(spark, q, at=[f"{i:03d}" for i in range(len(q))])
+    for held in (100_000, 0):
+        model = KNNClassifier(held_rows=held).fit(train, ["a", "b", "c"])
+        got = model.predict(test).orderBy("at").collect()
+        assert [r["probability"] for r in got] == want
+        assert [r["prediction"] for r in got] == [None if w is None else int(w > 0.5) for w in want]
+
+
+def test_classifier_drops_no_training_row(spark):
+    """Each of 120,000 different training rows is its own nearest: a fit on the 100,000 of least hash lost a sixth of them."""
+    from pyspark.sql import functions as F
+
+    train = spark.range(120_000).select(F.col("id").cast("string").alias("row_id"), F.col("id").cast("double").alias("a"),
+                                        (F.xxhash64("id") % 2 == 0).cast("int").alias("Potability"))
+    got = KNNClassifier(1).fit(train, ["a"]).predict(train)
+    assert got.where("prediction <> Potability OR prediction IS NULL").isEmpty() and got.count() == 120_000
