@@ -178,3 +178,33 @@ def test_bakeoff_on_its_training_rows_scores_them_once(spark, monkeypatch):
     assert len(calls) == 2 and all(r["train_accuracy"] == r["test_accuracy"] for r in table)
     other = models.train_baseline_models(rows, rows.where(F.col("a") < 0), ["a", "b"], names=["Naive Bayes"]).first()
     assert other["train_accuracy"] == {r["model"]: r["train_accuracy"] for r in table}["Naive Bayes"]
+
+
+def test_bake_off_fits_the_whole_estimators(spark, monkeypatch):
+    """All eight with their settings: the forest and the boosted trees had a tenth to a fifth of their trees."""
+    from quench.operators import models
+    from quench.plans import queries_experiments as Q
+
+    fitted = {}
+
+    class Known:
+        def __init__(self, name):
+            self.name = name
+
+        def fit(self, train, features, label):
+            return self
+
+        def predict(self, df):
+            return df.withColumn("prediction", F.col("Potability")).withColumn("probability", F.col("Potability").cast("double"))
+
+    def made(name, n):
+        fitted[name] = models_make(name, n)
+        return Known(name)
+
+    models_make = models.make_model
+    monkeypatch.setattr(models, "make_model", made)
+    rows = spark.createDataFrame([(f"{i:032x}", float(i % 2), 0.0, 0.0, i % 2) for i in range(20)], "row_id string, q double, t double, d double, Potability int")
+    monkeypatch.setattr(Q, "_planted_split", lambda spark, sf_dir: (rows, rows))
+    assert Q.q_m12_all(spark, "").count() == 8
+    assert fitted["Random Forest"].trees == 100
+    assert [(fitted[n].rounds, fitted[n].depth, fitted[n].rate) for n in ("Gradient Boosting", "XGBoost")] == [(100, 3, 0.1), (100, 6, 0.1)]
