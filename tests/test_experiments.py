@@ -208,3 +208,23 @@ def test_bake_off_fits_the_whole_estimators(spark, monkeypatch):
     assert Q.q_m12_all(spark, "").count() == 8
     assert fitted["Random Forest"].trees == 100
     assert [(fitted[n].rounds, fitted[n].depth, fitted[n].rate) for n in ("Gradient Boosting", "XGBoost")] == [(100, 3, 0.1), (100, 6, 0.1)]
+
+
+def test_svm_counts_equal_rows_once(spark, monkeypatch):
+    """Equal rows are one weighted row, and what the fit makes small is the loss over all the rows."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 4, (3000, 2)) - 1.5
+    y = (x[:, 0] + 0.2 * rng.normal(size=3000) > 0).astype(int)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, Potability int").coalesce(1)
+    fit_rows = []
+    fit = models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, data: fit_rows.append(data.count()) or fit(self, data))
+    model = models.make_model("SVM", 3000).fit(df, ["a", "b"])
+    scored, svm = model.predict(df).toPandas(), model.model.stages[-1]
+    assert fit_rows[0] <= 32 and (scored["prediction"] == (scored["a"] > 0)).all()
+    margin = scored["probability"] * (2 * scored["Potability"] - 1)
+    assert np.allclose(model.stds, models._rff(2)(x).std(0, ddof=1))
+    # the penalty (1 / n, halved) is on the coefficients of features of unit variance
+    assert svm.summary().objectiveHistory[-1] == pytest.approx(np.maximum(1 - margin, 0).mean() + (svm.coefficients.toArray() ** 2).sum() / 6000, rel=1e-9)
